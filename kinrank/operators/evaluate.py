@@ -44,10 +44,14 @@ def rmse_by_n(sims: DataFrame, train: DataFrame, test: DataFrame, n_min: int = 2
     size n in [n_min, n_max] (E5), in one plan.
 
     Similarity and the neighbour ranking do not depend on n: neighbours are
-    ranked once up to ``n_max``; each neighbour contribution is then counted
-    for every n >= its rank (an ``explode`` of at most n_max - n_min + 1
-    values, no join), and one aggregate on (n, user, item) gives every
-    prediction of the sweep.
+    ranked once up to ``n_max``. For a (user, item) cell the prediction is a
+    step function of n that changes only at the ranks of the neighbours who
+    rated the item, so running sums over those ranks (a window bounded by
+    ``n_max`` rows per cell) give each constant segment ``[a, b]`` once.
+
+    Pruning (exact): a segment covering every n is "full". Any segment ranked
+    below a user's ``top``-th best full segment loses to ``top`` segments at
+    every n and is dropped before segments are expanded to their n values.
     """
     spark = train.sparkSession
     targets = test.select(USER).distinct()
@@ -56,14 +60,27 @@ def rmse_by_n(sims: DataFrame, train: DataFrame, test: DataFrame, n_min: int = 2
     r = (center(train, USER, st).select(F.col(USER).alias(NEIGHBOUR), ITEM, "centered")
          .join(test.select(ITEM).distinct(), ITEM, "left_semi"))
     j = neigh.select(USER, NEIGHBOUR, SIM, "rank").join(r, NEIGHBOUR)
-    j = j.withColumn("n", F.explode(F.sequence(F.greatest(F.col("rank"), F.lit(n_min)), F.lit(n_max))))
-    agg = (j.groupBy("n", USER, ITEM)
-           .agg(F.sum(F.col(SIM) * F.col("centered")).alias("_num"), F.sum(F.abs(F.col(SIM))).alias("_den"))
-           .where(F.col("_den") > 0))
-    preds = agg.join(st.select(USER, "mean_rating"), USER).select(
-        "n", USER, ITEM, round6(F.col("mean_rating") + F.col("_num") / F.col("_den")).alias(PRED))
+    wc = Window.partitionBy(USER, ITEM).orderBy("rank")
+    run = wc.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    seg = (j.withColumn("_num", F.sum(F.col(SIM) * F.col("centered")).over(run))
+           .withColumn("_den", F.sum(F.abs(F.col(SIM))).over(run))
+           .withColumn("_next", F.lead("rank", 1, n_max + 1).over(wc))
+           .withColumn("a", F.greatest(F.col("rank"), F.lit(n_min)))
+           .withColumn("b", F.least(F.col("_next") - 1, F.lit(n_max)))
+           .where((F.col("a") <= F.col("b")) & (F.col("_den") > 0))
+           .join(st.select(USER, "mean_rating"), USER)
+           .select(USER, ITEM, "a", "b",
+                   round6(F.col("mean_rating") + F.col("_num") / F.col("_den")).alias(PRED)))
+    full = seg.where((F.col("a") == n_min) & (F.col("b") == n_max))
+    wf = Window.partitionBy(USER).orderBy(F.col(PRED).desc(), F.col(ITEM).asc())
+    bar = (full.withColumn("_r", F.row_number().over(wf)).where(F.col("_r") == top)
+           .select(USER, F.col(PRED).alias("_p5"), F.col(ITEM).alias("_i5")))
+    keep = (seg.join(bar, USER, "left")
+            .where(F.col("_p5").isNull() | (F.col(PRED) > F.col("_p5")) |
+                   ((F.col(PRED) == F.col("_p5")) & (F.col(ITEM) <= F.col("_i5"))))
+            .select(USER, ITEM, PRED, F.explode(F.sequence("a", "b")).alias("n")))
     w = Window.partitionBy("n", USER).orderBy(F.col(PRED).desc(), F.col(ITEM).asc())
-    best = preds.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= F.lit(top))
+    best = keep.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= F.lit(top))
     hits = best.join(test.select(USER, ITEM, RATING), [USER, ITEM])
     per_n = rmse_of(hits, group=("n",))
     # The n table has n_max - n_min + 1 rows: a fixed, proven size.
