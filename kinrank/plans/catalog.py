@@ -19,6 +19,7 @@ from kinrank.operators import centering, evaluate, factors, nbcf, neighbours, pr
 from kinrank.operators.pairs import co_rated_counts
 from kinrank.operators.similarity import mirror, similarity
 from kinrank.schema import ITEM, NEIGHBOUR, PRED, RATING, SIM, USER
+from kinrank.session import materialize
 from kinrank.sources import ratings as src
 
 # Fixed set-up values of the reference's experiments.
@@ -44,12 +45,17 @@ def register(name: str):
 
 
 # --------------------------------------------------------------------- inputs
+# The ratings table is derived from the warehouse tables by a join and an
+# aggregate, and most plans read it several times (means, both sides of the
+# pair join, neighbours' ratings). It is written once to the session's
+# checkpoint folder so every branch reads the small aggregated table instead
+# of rescanning and re-joining the order lines.
 def orders_ratings(spark, d):
-    return src.ratings_from_orders(spark, d)
+    return materialize(src.ratings_from_orders(spark, d))
 
 
 def events_ratings(spark, d):
-    return src.ratings_from_events(spark, d)
+    return materialize(src.ratings_from_events(spark, d))
 
 
 def orders_split(spark, d):
