@@ -24,7 +24,8 @@ def user_means(ratings: DataFrame, entity: str = USER) -> DataFrame:
     return entity_stats(ratings, entity).select(entity, "n", "rating_sum", "mean_rating")
 
 
-def centered(ratings: DataFrame, entity: str = USER, stats: DataFrame | None = None) -> DataFrame:
+def centered(ratings: DataFrame, entity: str = USER, stats: DataFrame | None = None,
+             with_norm: bool = False) -> DataFrame:
     """Ratings with the entity's mean subtracted.
 
     Adds ``mean_rating``, ``n`` and ``centered = rating - mean`` plus the
@@ -32,13 +33,20 @@ def centered(ratings: DataFrame, entity: str = USER, stats: DataFrame | None = N
     scaled form is exact for integer-valued ratings, and every similarity
     below is a ratio in which the factor n cancels.
 
+    ``with_norm`` adds ``norm2``, the sum of squared scaled deviations over
+    all of the entity's ratings: sum (n r - s)^2 = n (n q - s^2), q = sum r^2.
+
     Join of the ratings with the per-entity aggregate, not a window: the
     window would put all of one entity's rows into one task.
     """
     st = stats if stats is not None else entity_stats(ratings, entity)
-    return (ratings.join(st.select(entity, "n", "rating_sum", "mean_rating"), entity)
-            .withColumn("centered", F.col(RATING) - F.col("mean_rating"))
-            .withColumn("dev", F.col("n") * F.col(RATING) - F.col("rating_sum")))
+    out = (ratings.join(st.select(entity, "n", "rating_sum", "rating_sq_sum", "mean_rating"), entity)
+           .withColumn("centered", F.col(RATING) - F.col("mean_rating"))
+           .withColumn("dev", F.col("n") * F.col(RATING) - F.col("rating_sum")))
+    if with_norm:
+        out = out.withColumn("norm2", F.col("n") * (F.col("n") * F.col("rating_sq_sum")
+                                                    - F.col("rating_sum") * F.col("rating_sum")))
+    return out.drop("rating_sq_sum")
 
 
 def profiles(ratings: DataFrame, entity: str = USER) -> DataFrame:

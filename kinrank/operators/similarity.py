@@ -32,13 +32,7 @@ MEASURES = ("corated", "overlap", "cosine")
 
 
 def _prepared(ratings: DataFrame, entity: str) -> DataFrame:
-    st = entity_stats(ratings, entity)
-    c = centered(ratings, entity, st)
-    # Sum of squared scaled deviations over all of the entity's ratings:
-    # sum (n r - s)^2 = n (n q - s^2), q = sum r^2.
-    st2 = st.select(entity, (F.col("n") * (F.col("n") * F.col("rating_sq_sum")
-                                           - F.col("rating_sum") * F.col("rating_sum"))).alias("norm2"))
-    return c.join(st2, entity)
+    return centered(ratings, entity, entity_stats(ratings, entity), with_norm=True)
 
 
 def similarity(ratings: DataFrame, measure: str | Callable[[dict], Column] = "overlap", *,
