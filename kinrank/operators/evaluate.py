@@ -9,6 +9,7 @@ from kinrank.functions.columns import in_train, round6
 from kinrank.operators.centering import centered as center
 from kinrank.operators.centering import entity_stats
 from kinrank.operators.neighbours import top_neighbours
+from kinrank.operators.skew import split_join
 from kinrank.schema import ITEM, NEIGHBOUR, PRED, RATING, SIM, USER
 
 # Fractions of the evaluation sample (percent) and the hash
@@ -59,7 +60,7 @@ def rmse_by_n(sims: DataFrame, train: DataFrame, test: DataFrame, n_min: int = 2
     st = entity_stats(train, USER)
     r = (center(train, USER, st).select(F.col(USER).alias(NEIGHBOUR), ITEM, "centered")
          .join(test.select(ITEM).distinct(), ITEM, "left_semi"))
-    j = neigh.select(USER, NEIGHBOUR, SIM, "rank").join(r, NEIGHBOUR)
+    j = split_join(neigh.select(USER, NEIGHBOUR, SIM, "rank"), r, NEIGHBOUR, USER, ITEM)
     wc = Window.partitionBy(USER, ITEM).orderBy("rank")
     run = wc.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     seg = (j.withColumn("_num", F.sum(F.col(SIM) * F.col("centered")).over(run))

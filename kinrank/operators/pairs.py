@@ -23,11 +23,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kinrank.operators.skew import DEFAULT_BROADCAST_LIMIT, DEFAULT_HOT_THRESHOLD, hot_keys, salted_join
 from kinrank.schema import NEIGHBOUR
 
-DEFAULT_HOT_THRESHOLD = 4096
-DEFAULT_BROADCAST_LIMIT = 2_000_000
-
 ALL_STATS = ("n_common", "sum_x", "sum_y", "sum_xy", "sum_xx", "sum_yy")
 
 
@@ -38,24 +36,6 @@ def _side(df: DataFrame, entity: str, through: str, value: str, carry: list[str]
                      *[F.col(c).alias(c + carry_suffix) for c in carry])
 
 
-def hot_keys(left: DataFrame, right: DataFrame | None, through: str,
-             hot_threshold: int) -> DataFrame:
-    """Keys with more than ``hot_threshold`` rows on either side, with the
-    number of chunks per side (``_sl``, ``_sr``)."""
-    cl = left.groupBy(through).agg(F.count(F.lit(1)).alias("_ml"))
-    if right is None:
-        cr = cl.withColumnRenamed("_ml", "_mr")
-        both = cl.join(cr, through)
-    else:
-        cr = right.groupBy(through).agg(F.count(F.lit(1)).alias("_mr"))
-        both = cl.join(cr, through)          # only keys present on both sides pair up
-    h = F.lit(hot_threshold)
-    return (both.where((F.col("_ml") > h) | (F.col("_mr") > h))
-            .select(F.col(through).alias("_t"),
-                    F.greatest(F.lit(1), F.ceil(F.col("_ml") / h)).cast("int").alias("_sl"),
-                    F.greatest(F.lit(1), F.ceil(F.col("_mr") / h)).cast("int").alias("_sr")))
-
-
 def pair_rows(left: DataFrame, right: DataFrame | None = None, *, entity: str, through: str,
               value: str, carry_left: list[str] | None = None, carry_right: list[str] | None = None,
               hot_threshold: int | None = DEFAULT_HOT_THRESHOLD,
@@ -70,41 +50,26 @@ def pair_rows(left: DataFrame, right: DataFrame | None = None, *, entity: str, t
     self_mode = right is None
     L = _side(left, entity, through, value, carry_left, "_a", "_x", "_l")
     R = _side(right if right is not None else left, entity, through, value, carry_right, "_b", "_y", "_r")
-    cond_pair = (F.col("_a") < F.col("_b")) if self_mode else (F.col("_a") != F.col("_b"))
+    cond = (F.col("_a") < F.col("_b")) if self_mode else (F.col("_a") != F.col("_b"))
 
-    n_hot = 0
-    hot = None
+    n_hot, hot = 0, None
     if hot_threshold is not None:
-        hot = hot_keys(left.select(through), None if self_mode else right.select(through),
-                       through, hot_threshold)
-        n_hot = hot.count()                   # small aggregate: decides the plan shape
-
-    if n_hot == 0:
-        if self_mode:
-            base = left.select(F.col(entity).alias("_e"), F.col(through).alias("_t"),
-                               F.col(value).cast("double").alias("_v"), *carry_left)
-            a, b = base.alias("a"), base.alias("b")
-            j = a.join(b, (F.col("a._t") == F.col("b._t")) & (F.col("a._e") < F.col("b._e")))
-            return j.select(F.col("a._e").alias("_a"), F.col("b._e").alias("_b"),
-                            F.col("a._t").alias("_t"), F.col("a._v").alias("_x"),
-                            F.col("b._v").alias("_y"),
-                            *[F.col("a." + c).alias(c + "_l") for c in carry_left],
-                            *[F.col("b." + c).alias(c + "_r") for c in carry_right])
-        j = L.join(R, "_t").where(cond_pair)
-        return j
-
-    hot_side = F.broadcast(hot) if n_hot <= broadcast_limit else hot
-    Ls = (L.join(hot_side, "_t", "left")
-          .withColumn("_sl", F.coalesce("_sl", F.lit(1))).withColumn("_sr", F.coalesce("_sr", F.lit(1)))
-          .withColumn("_p", F.pmod(F.xxhash64("_a"), F.col("_sl")).cast("int"))
-          .withColumn("_q", F.explode(F.sequence(F.lit(0), F.col("_sr") - 1)))
-          .drop("_sl", "_sr"))
-    Rs = (R.join(hot_side, "_t", "left")
-          .withColumn("_sl", F.coalesce("_sl", F.lit(1))).withColumn("_sr", F.coalesce("_sr", F.lit(1)))
-          .withColumn("_q", F.pmod(F.xxhash64("_b"), F.col("_sr")).cast("int"))
-          .withColumn("_p", F.explode(F.sequence(F.lit(0), F.col("_sl") - 1)))
-          .drop("_sl", "_sr"))
-    return Ls.join(Rs, ["_t", "_p", "_q"]).where(cond_pair).drop("_p", "_q")
+        hot = hot_keys(L.select("_t"), R.select("_t"), "_t", hot_threshold)
+        n_hot = hot.count()                       # one scalar; decides the plan shape
+    if n_hot:
+        return salted_join(L, R, "_t", "_a", "_b", hot, n_hot, cond, broadcast_limit)
+    if self_mode:
+        # Plain self-join of one expression: both sides share one exchange.
+        base = left.select(F.col(entity).alias("_e"), F.col(through).alias("_t"),
+                           F.col(value).cast("double").alias("_v"), *carry_left)
+        a, b = base.alias("a"), base.alias("b")
+        j = a.join(b, (F.col("a._t") == F.col("b._t")) & (F.col("a._e") < F.col("b._e")))
+        return j.select(F.col("a._e").alias("_a"), F.col("b._e").alias("_b"),
+                        F.col("a._t").alias("_t"), F.col("a._v").alias("_x"),
+                        F.col("b._v").alias("_y"),
+                        *[F.col("a." + c).alias(c + "_l") for c in carry_left],
+                        *[F.col("b." + c).alias(c + "_r") for c in carry_right])
+    return L.join(R, "_t").where(cond)
 
 
 def pair_stats(left: DataFrame, right: DataFrame | None = None, *, entity: str, through: str,
