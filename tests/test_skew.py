@@ -13,11 +13,11 @@ def _rows(df):
 
 
 def test_split_join_with_one_hot_key(spark):
-    # Key 0 holds a third of each side: it becomes 3 x 4 chunk cells.
-    left = spark.range(0, 300).select((F.col("id") % 3 * F.col("id") % 7).alias("k"),
-                                      F.col("id").alias("a"))
-    right = spark.range(0, 400).select((F.col("id") % 3 * F.col("id") % 5).alias("k"),
-                                       (F.col("id") + 1000).alias("b"))
+    # Key 0 holds a third of each side: it becomes 2 x 3 chunk cells.
+    def key(c):
+        return F.when(c % 3 == 0, F.lit(0)).otherwise(c % 50 + 1).cast("bigint").alias("k")
+    left = spark.range(0, 300).select(key(F.col("id")), F.col("id").alias("a"))
+    right = spark.range(0, 400).select(key(F.col("id")), (F.col("id") + 1000).alias("b"))
     hot = hot_keys(left, right, "k", 50).collect()
     assert [r["k"] for r in hot] == [0]
     plain = left.join(right, "k").where("a + b > 1100")
