@@ -10,6 +10,7 @@ from kinrank.operators.centering import centered as center
 from kinrank.operators.centering import entity_stats
 from kinrank.operators.neighbours import top_neighbours
 from kinrank.operators.skew import split_join
+from kinrank.session import materialize
 from kinrank.schema import ITEM, NEIGHBOUR, PRED, RATING, SIM, USER
 
 # Fractions of the evaluation sample (percent) and the hash
@@ -56,7 +57,7 @@ def rmse_by_n(sims: DataFrame, train: DataFrame, test: DataFrame, n_min: int = 2
     """
     spark = train.sparkSession
     targets = test.select(USER).distinct()
-    neigh = top_neighbours(sims, n_max, threshold, targets)
+    neigh = materialize(top_neighbours(sims, n_max, threshold, targets))   # users x n_max rows
     st = entity_stats(train, USER)
     r = (center(train, USER, st).select(F.col(USER).alias(NEIGHBOUR), ITEM, "centered")
          .join(test.select(ITEM).distinct(), ITEM, "left_semi"))

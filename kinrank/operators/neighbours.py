@@ -41,18 +41,28 @@ def top_neighbours_all(sims: DataFrame, n_entities: int, n: int,
     Every other one of ``n_entities`` entities is a candidate; those without
     a pair row have similarity 0, so negatives rank after all of them. Only
     non-zero neighbours are returned (a zero weighs nothing in a prediction),
-    each with its rank among all ``n_entities - 1`` candidates: positives by
-    descending similarity, negatives counted from the bottom. Ties by id.
+    each with its rank among all ``n_entities - 1`` candidates. Ties by id.
+
+    Positives: ``row_number <= n`` by descending similarity (partial+final
+    ``WindowGroupLimit``). Negatives: with q negatives, the j-th least
+    negative has rank ``n_entities - q - 1 + j``; only users with
+    ``q >= n_entities - n`` can place one within n, and only their first
+    ``n`` are ranked, so no user's negatives are sorted in full.
     """
     nz = sims.where(F.col(SIM) != F.lit(0.0))
     sym = nz if symmetric_input else mirror(nz, entity)
     if targets is not None:
         sym = sym.join(targets.select(entity).distinct(), entity, "left_semi")
-    pos = F.col(SIM) > 0
-    w = Window.partitionBy(entity, pos.alias("_pos")).orderBy(
-        F.when(pos, -F.col(SIM)).otherwise(F.col(SIM)).asc(),
-        F.when(pos, F.col(NEIGHBOUR)).otherwise(-F.col(NEIGHBOUR)).asc())
+    w = Window.partitionBy(entity).orderBy(F.col(SIM).desc(), F.col(NEIGHBOUR).asc())
+    pos = (sym.where(F.col(SIM) > 0).withColumn("rank", F.row_number().over(w))
+           .where(F.col("rank") <= F.lit(n)))
+    neg = sym.where(F.col(SIM) < 0)
+    q = (neg.groupBy(entity).agg(F.count(F.lit(1)).alias("_q"))
+         .where(F.col("_q") >= F.lit(n_entities - n)))
     rn = F.row_number().over(w)
-    rank = F.when(pos, rn).otherwise(F.lit(n_entities - 1) - rn + F.lit(1))
-    return (sym.withColumn("rank", rank.cast("int"))
-            .where(F.col("rank") <= F.lit(n)))
+    negr = (neg.join(q, entity).withColumn("_j", rn)
+            .where((F.col("_j") <= F.lit(n)) &
+                   (F.lit(n_entities) - F.col("_q") - F.lit(1) + F.col("_j") <= F.lit(n)))
+            .withColumn("rank", (F.lit(n_entities) - F.col("_q") - F.lit(1) + F.col("_j")).cast("int"))
+            .drop("_j", "_q"))
+    return pos.unionByName(negr)

@@ -187,9 +187,11 @@ def q_similarity_symmetric(spark, d):
 
 # ---------------------------------------------------------------- neighbours
 def _overlap_neighbours(spark, d, threshold=THRESHOLD, n=N_NEIGHBOURS):
+    """Fitted neighbourhood model: at most users x N rows, written once
+    (every prediction step and its hot-key check read it, not the pair join)."""
     train, test = orders_split(spark, d)
     sims = similarity(train, "overlap")
-    return train, test, neighbours.top_neighbours(sims, n, threshold, test.select(USER))
+    return train, test, materialize(neighbours.top_neighbours(sims, n, threshold, test.select(USER)))
 
 
 @register("top_neighbours")
@@ -201,7 +203,7 @@ def _corated_all(spark, d, targets=None, n=N_NEIGHBOURS, ratings=None):
     valid = ratings if ratings is not None else _valid_train(spark, d)
     sims = similarity(valid, "corated")
     n_valid = valid.select(USER).distinct().count()      # one scalar
-    return valid, neighbours.top_neighbours_all(sims, n_valid, n, targets)
+    return valid, materialize(neighbours.top_neighbours_all(sims, n_valid, n, targets))
 
 
 @register("top_neighbours_all")
@@ -263,7 +265,7 @@ def q_recommend_single_user(spark, d):
     mine = valid.join(one, USER, "left_semi")
     sims = similarity(mine, "corated", other=valid)         # that user against all others only
     n_valid = valid.select(USER).distinct().count()         # one scalar
-    nb = neighbours.top_neighbours_all(sims, n_valid, N_NEIGHBOURS, symmetric_input=True)
+    nb = materialize(neighbours.top_neighbours_all(sims, n_valid, N_NEIGHBOURS, symmetric_input=True))
     preds = predict.exclude_rated(predict.predict_from_neighbours(nb, valid), valid)
     return predict.top_n(preds, TOP)
 
@@ -277,7 +279,7 @@ def q_recommend_for_vector(spark, d):
     vec = (test.join(first, test[USER] == first["_u"], "left_semi")
            .select(F.lit(-1).cast("bigint").alias(USER), ITEM, RATING))
     sims = similarity(vec, "overlap", other=train)
-    nb = neighbours.top_neighbours(sims, N_NEIGHBOURS, THRESHOLD, symmetric_input=True)
+    nb = materialize(neighbours.top_neighbours(sims, N_NEIGHBOURS, THRESHOLD, symmetric_input=True))
     preds = predict.predict_from_neighbours(nb, train, target_stats=centering.user_means(vec))
     return predict.top_n(predict.exclude_rated(preds, vec), TOP)
 
@@ -311,7 +313,7 @@ def q_recommend_final(spark, d):
     n_best = evaluate.best_n(_sweep(spark, d)).first()
     n = int(n_best["n"]) if n_best is not None else N_NEIGHBOURS     # one scalar
     ratings = orders_ratings(spark, d)
-    nb = neighbours.top_neighbours(similarity(ratings, "overlap"), n, THRESHOLD)
+    nb = materialize(neighbours.top_neighbours(similarity(ratings, "overlap"), n, THRESHOLD))
     preds = predict.exclude_rated(predict.predict_from_neighbours(nb, ratings), ratings)
     return predict.top_n(preds, TOP)
 

@@ -49,7 +49,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     A cluster names a shared folder in ``spark.checkpoint.dir``; that one is
     always used. Only when it is unset (local tests) a scratch folder is made.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a remote (Connect) session: the server owns the setting
+        return spark.conf.get("spark.checkpoint.dir", "")
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -142,3 +142,23 @@ def test_catalogue_recommendation_matches_brute_force(spark, events, entity, thr
     brute = scored.withColumn("rank", F.row_number().over(w)).where("rank <= 4")
     cols = [entity, through, "predicted_rating", "rank"]
     assert _rows(fast, cols) == _rows(brute, cols)
+
+
+def test_r1b_against_brute_force(events):
+    """Rank among all other users (missing pair = 0), negatives last; with
+    n close to the user count, negatives do enter the top n."""
+    sims = similarity(events, "corated")
+    users = sorted(r["user_id"] for r in events.select("user_id").distinct().collect())
+    s = {}
+    for r in sims.collect():
+        s[(r["user_id"], r["neighbour_id"])] = s[(r["neighbour_id"], r["user_id"])] = r["similarity"]
+    n = len(users) - 2
+    want = set()
+    for u in users:
+        cand = sorted(((s.get((u, v), 0.0), v) for v in users if v != u), key=lambda t: (-t[0], t[1]))
+        for rank, (sim, v) in enumerate(cand[:n], 1):
+            if sim != 0.0:
+                want.add((u, v, rank))
+    got = neighbours.top_neighbours_all(sims, len(users), n)
+    assert {(r["user_id"], r["neighbour_id"], r["rank"]) for r in got.collect()} == want
+    assert got.where("similarity < 0").count() > 0
