@@ -43,25 +43,40 @@ def rmse_of(rows: DataFrame, pred_col: str = PRED, truth_col: str = RATING, grou
 def rmse_by_n(sims: DataFrame, train: DataFrame, test: DataFrame, n_min: int = 2, n_max: int = 16,
               threshold: float | None = 0.5, top: int = 5) -> DataFrame:
     """RMSE of the top-``top`` test-item predictions for every neighbourhood
-    size n in [n_min, n_max] (E5), in one plan.
-
+    size n in [n_min, n_max] (E5, thresholded neighbours), in one plan.
     Similarity and the neighbour ranking do not depend on n: neighbours are
-    ranked once up to ``n_max``. For a (user, item) cell the prediction is a
-    step function of n that changes only at the ranks of the neighbours who
-    rated the item, so running sums over those ranks (a window bounded by
-    ``n_max`` rows per cell) give each constant segment ``[a, b]`` once.
+    ranked once up to ``n_max``."""
+    targets = test.select(USER).distinct()
+    neigh = materialize(top_neighbours(sims, n_max, threshold, targets))   # users x n_max rows
+    return sweep(neigh, train, test, n_min, n_max, top=top, candidates="test_items")
+
+
+def sweep(neigh: DataFrame, train: DataFrame, test: DataFrame, n_min: int, n_max: int, *,
+          top: int | None = 5, candidates: str = "test_items") -> DataFrame:
+    """RMSE per neighbourhood size from neighbours ranked up to ``n_max``.
+
+    ``candidates``: ``"test_items"`` scores items occurring in the test table
+    (R2b); ``"unrated"`` scores every item of the neighbours the user has not
+    rated (R3). ``top``: best predictions kept per user, or ``None`` for as
+    many as the user has test ratings.
+
+    For a (user, item) cell the prediction is a step function of n that
+    changes only at the ranks of the neighbours who rated the item, so
+    running sums over those ranks (a window of at most ``n_max`` rows per
+    cell) give each constant segment ``[a, b]`` once.
 
     Pruning (exact): a segment covering every n is "full". Any segment ranked
-    below a user's ``top``-th best full segment loses to ``top`` segments at
-    every n and is dropped before segments are expanded to their n values.
+    below a user's k-th best full segment loses to k segments at every n and
+    is dropped before segments are expanded to their n values.
     """
     spark = train.sparkSession
-    targets = test.select(USER).distinct()
-    neigh = materialize(top_neighbours(sims, n_max, threshold, targets))   # users x n_max rows
     st = entity_stats(train, USER)
-    r = (center(train, USER, st).select(F.col(USER).alias(NEIGHBOUR), ITEM, "centered")
-         .join(test.select(ITEM).distinct(), ITEM, "left_semi"))
+    r = center(train, USER, st).select(F.col(USER).alias(NEIGHBOUR), ITEM, "centered")
+    if candidates == "test_items":
+        r = r.join(test.select(ITEM).distinct(), ITEM, "left_semi")
     j = split_join(neigh.select(USER, NEIGHBOUR, SIM, "rank"), r, NEIGHBOUR, USER, ITEM)
+    if candidates == "unrated":
+        j = j.join(train.select(USER, ITEM), [USER, ITEM], "left_anti")
     wc = Window.partitionBy(USER, ITEM).orderBy("rank")
     run = wc.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     seg = (j.withColumn("_num", F.sum(F.col(SIM) * F.col("centered")).over(run))
@@ -73,16 +88,21 @@ def rmse_by_n(sims: DataFrame, train: DataFrame, test: DataFrame, n_min: int = 2
            .join(st.select(USER, "mean_rating"), USER)
            .select(USER, ITEM, "a", "b",
                    round6(F.col("mean_rating") + F.col("_num") / F.col("_den")).alias(PRED)))
+    if top is None:
+        k = test.groupBy(USER).agg(F.count(F.lit(1)).cast("int").alias("_k"))
+        seg = seg.join(k, USER)
+    else:
+        seg = seg.withColumn("_k", F.lit(top))
     full = seg.where((F.col("a") == n_min) & (F.col("b") == n_max))
     wf = Window.partitionBy(USER).orderBy(F.col(PRED).desc(), F.col(ITEM).asc())
-    bar = (full.withColumn("_r", F.row_number().over(wf)).where(F.col("_r") == top)
+    bar = (full.withColumn("_r", F.row_number().over(wf)).where(F.col("_r") == F.col("_k"))
            .select(USER, F.col(PRED).alias("_p5"), F.col(ITEM).alias("_i5")))
     keep = (seg.join(bar, USER, "left")
             .where(F.col("_p5").isNull() | (F.col(PRED) > F.col("_p5")) |
                    ((F.col(PRED) == F.col("_p5")) & (F.col(ITEM) <= F.col("_i5"))))
-            .select(USER, ITEM, PRED, F.explode(F.sequence("a", "b")).alias("n")))
+            .select(USER, ITEM, PRED, "_k", F.explode(F.sequence("a", "b")).alias("n")))
     w = Window.partitionBy("n", USER).orderBy(F.col(PRED).desc(), F.col(ITEM).asc())
-    best = keep.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= F.lit(top))
+    best = keep.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= F.col("_k"))
     hits = best.join(test.select(USER, ITEM, RATING), [USER, ITEM])
     per_n = rmse_of(hits, group=("n",))
     # The n table has n_max - n_min + 1 rows: a fixed, proven size.

@@ -303,6 +303,21 @@ def q_rmse_by_n(spark, d):
     return _sweep(spark, d)
 
 
+@register("rmse_by_n_corated")
+def q_rmse_by_n_corated(spark, d):
+    """Sweep of the per-user form: co-rated Pearson among non-constant raters,
+    neighbours without a threshold, every unrated item scored, and each test
+    user given as many recommendations as they have test ratings."""
+    train, test = orders_split(spark, d)
+    valid = quality.without_constant_raters(train)
+    sims = similarity(valid, "corated")
+    n_valid = valid.select(USER).distinct().count()      # one scalar
+    targets = test.select(USER).distinct().join(valid.select(USER).distinct(), USER, "left_semi")
+    nb = materialize(neighbours.top_neighbours_all(sims, n_valid, SWEEP[1], targets))
+    return evaluate.sweep(nb, valid, test.join(targets, USER, "left_semi"), SWEEP[0], SWEEP[1],
+                          top=None, candidates="unrated")
+
+
 @register("best_n")
 def q_best_n(spark, d):
     return evaluate.best_n(_sweep(spark, d))

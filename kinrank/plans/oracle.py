@@ -168,30 +168,52 @@ OV_NB = f"""{ORD},
 {neighbours()}"""
 
 
-def _sweep_ctes():
+def _sweep_tail(cent, means, test, item_filter, k_sql):
+    """Per-n predictions from ``nb`` (ranked up to the sweep's top n), best
+    k per (n, user), RMSE over the test hits, one row per n."""
     lo, hi = SWEEP
-    return f"""{ORD},
-{stats()},
-{overlap()},
-{neighbours(n=hi)},
-ns AS (SELECT CAST(range AS INTEGER) AS n FROM range({lo}, {hi + 1})),
+    return f"""ns AS (SELECT CAST(range AS INTEGER) AS n FROM range({lo}, {hi + 1})),
 sw_a AS (
   SELECT ns.n, nb.user_id, c.item_id, SUM(nb.similarity * c.centered) AS num, SUM(abs(nb.similarity)) AS den
-  FROM nb JOIN cent c ON c.user_id = nb.neighbour_id JOIN ns ON nb."rank" <= ns.n
-  WHERE c.item_id IN (SELECT item_id FROM test)
+  FROM nb JOIN {cent} c ON c.user_id = nb.neighbour_id JOIN ns ON nb."rank" <= ns.n
+  {item_filter}
   GROUP BY ns.n, nb.user_id, c.item_id),
 sw_p AS (
   SELECT a.n, a.user_id, a.item_id, round(m.mean_rating + a.num / a.den, 6) AS predicted_rating
-  FROM sw_a a JOIN ust m ON m.user_id = a.user_id WHERE a.den > 0),
+  FROM sw_a a JOIN {means} m ON m.user_id = a.user_id WHERE a.den > 0),
+sw_k AS ({k_sql}),
 sw_b AS (
-  SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY n, user_id ORDER BY predicted_rating DESC, item_id) AS rk
-                 FROM sw_p) x WHERE rk <= {TOP}),
-sw_h AS (SELECT b.n, b.predicted_rating, t.rating FROM sw_b b JOIN test t ON t.user_id = b.user_id AND t.item_id = b.item_id),
+  SELECT x.* FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY n, user_id ORDER BY predicted_rating DESC, item_id) AS rk
+                   FROM sw_p) x JOIN sw_k ON sw_k.user_id = x.user_id WHERE x.rk <= sw_k.k),
+sw_h AS (SELECT b.n, b.predicted_rating, t.rating FROM sw_b b JOIN {test} t ON t.user_id = b.user_id AND t.item_id = b.item_id),
 per AS ({rmse_sql('sw_h', 'n')}),
 sweep AS (SELECT ns.n, CAST(COALESCE(per.hits, 0) AS BIGINT) AS hits, per.rmse FROM ns LEFT JOIN per ON per.n = ns.n),
 best AS (SELECT * FROM sweep WHERE rmse IS NOT NULL ORDER BY rmse ASC, n ASC LIMIT 1)"""
 
 
+def _sweep_ctes():
+    return f"""{ORD},
+{stats()},
+{overlap()},
+{neighbours(n=SWEEP[1])},
+{_sweep_tail('cent', 'ust', 'test', 'WHERE c.item_id IN (SELECT item_id FROM test)',
+             f'SELECT DISTINCT user_id, {TOP} AS k FROM test')}"""
+
+
+def _sweep_corated_ctes():
+    unrated_filter = ("WHERE NOT EXISTS (SELECT 1 FROM valid r WHERE r.user_id = nb.user_id "
+                      "AND r.item_id = c.item_id)")
+    return f"""{ORD},
+{VALID},
+{corated()},
+tu AS (SELECT DISTINCT user_id FROM test WHERE user_id IN (SELECT user_id FROM vs)),
+vtest AS (SELECT * FROM test WHERE user_id IN (SELECT user_id FROM tu)),
+{_r1b('sims', 'SELECT user_id FROM tu', 'SELECT COUNT(*) FROM vs', n=SWEEP[1])},
+{stats(src='valid')},
+{_sweep_tail('cent', 'ust', 'vtest', unrated_filter,
+             'SELECT user_id, COUNT(*) AS k FROM vtest GROUP BY user_id')}"""
+
+
 def _knn_cells(cells, ent, oth, cent, sims, means, k=K_RATERS):
     """Score ``cells`` (ent, oth) by the k most similar raters (R4 + R6)."""
     return f"""kc AS (
@@ -234,7 +256,7 @@ def _knn_catalogue(ent, oth):
 {top('kp', N_RECOMMEND, ent=ent, oth=oth)}"""
 
 
-def _r1b(sims, targets_sql, n_valid_sql, directed=False, name="nb"):
+def _r1b(sims, targets_sql, n_valid_sql, directed=False, name="nb", n=N_NEIGHBOURS):
     mirror_part = "" if directed else f"""
   UNION ALL SELECT neighbour_id AS user_id, user_id AS neighbour_id, similarity FROM {sims} WHERE similarity <> 0"""
     return f"""{name}_s AS (
@@ -248,7 +270,7 @@ def _r1b(sims, targets_sql, n_valid_sql, directed=False, name="nb"):
   SELECT user_id, neighbour_id, similarity,
          CAST(CASE WHEN similarity > 0 THEN rn ELSE ({n_valid_sql}) - 1 - rn + 1 END AS INTEGER) AS "rank"
   FROM {name}_r
-  WHERE CASE WHEN similarity > 0 THEN rn ELSE ({n_valid_sql}) - 1 - rn + 1 END <= {N_NEIGHBOURS})"""
+  WHERE CASE WHEN similarity > 0 THEN rn ELSE ({n_valid_sql}) - 1 - rn + 1 END <= {n})"""
 
 
 SQL: dict[str, str] = {
@@ -384,6 +406,8 @@ t5 AS ({top('pred', TOP)}),
 hit AS (SELECT p.predicted_rating, t.rating FROM t5 p JOIN test t ON t.user_id = p.user_id AND t.item_id = p.item_id)
 {rmse_sql('hit')}""",
     "rmse_by_n": f"""{_sweep_ctes()}
+SELECT n, hits, rmse FROM sweep""",
+    "rmse_by_n_corated": f"""{_sweep_corated_ctes()}
 SELECT n, hits, rmse FROM sweep""",
     "best_n": f"""{_sweep_ctes()}
 SELECT n, hits, rmse FROM best""",
