@@ -128,16 +128,17 @@ def test_explode_range(spark):
     assert sorted(tuple(r) for r in got.collect()) == [(1, 5, 1, 5), (3, 10000, 1, 10000)]
 
 
+@pytest.mark.parametrize("k", [3, 6])
 @pytest.mark.parametrize("entity,through", [("user_id", "item_id"), ("item_id", "user_id")])
-def test_catalogue_recommendation_matches_brute_force(spark, events, entity, through):
+def test_catalogue_recommendation_matches_brute_force(spark, events, entity, through, k):
     """recommend_knn scores only cells reached by a similarity and fills the
     rest with the mean; brute force scores every unrated cell."""
     train, _ = evaluate.split(events)
     sims = similarity(train, "cosine", entity=entity, through=through)
-    fast = nbcf.recommend_knn(train, sims, 3, 4, entity=entity, through=through)
+    fast = nbcf.recommend_knn(train, sims, k, 4, entity=entity, through=through)
     cells = (train.select(entity).distinct().crossJoin(train.select(through).distinct())   # test only
              .join(train.select(entity, through), [entity, through], "left_anti"))
-    scored = nbcf.predict_knn(cells, train, sims, 3, entity=entity, through=through)
+    scored = nbcf.predict_knn(cells, train, sims, k, entity=entity, through=through)
     w = Window.partitionBy(entity).orderBy(F.col("predicted_rating").desc(), F.col(through))
     brute = scored.withColumn("rank", F.row_number().over(w)).where("rank <= 4")
     cols = [entity, through, "predicted_rating", "rank"]
