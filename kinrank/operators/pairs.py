@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from kinrank.operators.skew import DEFAULT_BROADCAST_LIMIT, DEFAULT_HOT_THRESHOLD, hot_keys, salted_join
 from kinrank.schema import NEIGHBOUR
+from kinrank.session import parallelism
 
 ALL_STATS = ("n_common", "sum_x", "sum_y", "sum_xy", "sum_xx", "sum_yy")
 
@@ -62,6 +63,8 @@ def pair_rows(left: DataFrame, right: DataFrame | None = None, *, entity: str, t
         # Plain self-join of one expression: both sides share one exchange.
         base = left.select(F.col(entity).alias("_e"), F.col(through).alias("_t"),
                            F.col(value).cast("double").alias("_v"), *carry_left)
+        # One exchange on the key with an explicit count, shared by both sides.
+        base = base.repartition(parallelism(left.sparkSession), "_t")
         a, b = base.alias("a"), base.alias("b")
         j = a.join(b, (F.col("a._t") == F.col("b._t")) & (F.col("a._e") < F.col("b._e")))
         return j.select(F.col("a._e").alias("_a"), F.col("b._e").alias("_b"),
@@ -69,7 +72,8 @@ def pair_rows(left: DataFrame, right: DataFrame | None = None, *, entity: str, t
                         F.col("b._v").alias("_y"),
                         *[F.col("a." + c).alias(c + "_l") for c in carry_left],
                         *[F.col("b." + c).alias(c + "_r") for c in carry_right])
-    return L.join(R, "_t").where(cond)
+    n = parallelism(left.sparkSession)
+    return L.repartition(n, "_t").join(R.repartition(n, "_t"), "_t").where(cond)
 
 
 def pair_stats(left: DataFrame, right: DataFrame | None = None, *, entity: str, through: str,

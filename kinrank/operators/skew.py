@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kinrank.session import parallelism
+
 DEFAULT_HOT_THRESHOLD = 4096
 DEFAULT_BROADCAST_LIMIT = 2_000_000
 
@@ -54,7 +56,10 @@ def split_join(left: DataFrame, right: DataFrame, key: str, left_salt: str, righ
 
 
 def _plain(left, right, key, cond):
-    j = left.join(right, key)
+    # Both sides hash-partitioned on the key with an explicit count: the join
+    # multiplies rows, so its task count must not follow the small inputs.
+    n = parallelism(left.sparkSession)
+    j = left.repartition(n, key).join(right.repartition(n, key), key)
     return j.where(cond) if cond is not None else j
 
 
@@ -72,5 +77,7 @@ def salted_join(left: DataFrame, right: DataFrame, key: str, left_salt: str, rig
           .withColumn("_q", F.pmod(F.xxhash64(right_salt), F.coalesce("_sr", one)).cast("int"))
           .withColumn("_p", F.explode(F.sequence(F.lit(0), F.coalesce("_sl", one) - 1)))
           .drop("_sl", "_sr"))
-    j = ls.join(rs, [key, "_p", "_q"]).drop("_p", "_q")
+    n = parallelism(left.sparkSession)
+    j = (ls.repartition(n, key, "_p", "_q")
+         .join(rs.repartition(n, key, "_p", "_q"), [key, "_p", "_q"]).drop("_p", "_q"))
     return j.where(cond) if cond is not None else j

@@ -72,3 +72,14 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def parallelism(spark: SparkSession) -> int:
+    """Partition count for joins whose output is much larger than their
+    inputs (pair generation, neighbour expansion): the session's shuffle
+    partitions. Adaptive execution sizes ordinary shuffles by their input
+    and would run such a join in a few tasks; an explicit count is kept."""
+    try:
+        return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+    except (TypeError, ValueError):
+        return 200
