@@ -95,7 +95,10 @@ def sweep(neigh: DataFrame, train: DataFrame, test: DataFrame, n_min: int, n_max
         seg = seg.withColumn("_k", F.lit(top))
     full = seg.where((F.col("a") == n_min) & (F.col("b") == n_max))
     wf = Window.partitionBy(USER).orderBy(F.col(PRED).desc(), F.col(ITEM).asc())
-    bar = (full.withColumn("_r", F.row_number().over(wf)).where(F.col("_r") == F.col("_k"))
+    ranked = full.withColumn("_r", F.row_number().over(wf))
+    if top is not None:
+        ranked = ranked.where(F.col("_r") <= F.lit(top))     # constant bound: partial top-k map-side
+    bar = (ranked.where(F.col("_r") == F.col("_k"))
            .select(USER, F.col(PRED).alias("_p5"), F.col(ITEM).alias("_i5")))
     keep = (seg.join(bar, USER, "left")
             .where(F.col("_p5").isNull() | (F.col(PRED) > F.col("_p5")) |
