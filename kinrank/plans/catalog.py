@@ -345,6 +345,17 @@ def q_predict_nbcf(spark, d):
     return _nbcf_rows(train, test).select(USER, ITEM, RATING, PRED)
 
 
+@register("predict_nbcf_items")
+def q_predict_nbcf_items(spark, d):
+    """Item-item mode of R4 on the test cells: the k items most similar to
+    the target item among those the user rated, item means."""
+    train, test = events_split(spark, d)
+    sims = similarity(train, "cosine", entity=ITEM, through=USER)
+    return (nbcf.predict_knn(test.select(USER, ITEM, RATING), train, sims, K_RATERS,
+                             entity=ITEM, through=USER)
+            .select(USER, ITEM, RATING, PRED))
+
+
 @register("nbcf_evaluate")
 def q_nbcf_evaluate(spark, d):
     train, test = events_split(spark, d)

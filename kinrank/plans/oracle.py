@@ -418,6 +418,11 @@ SELECT n, hits, rmse FROM best""",
 {predict(nb='anb', cent='acent', means='ast', name='apred')}
 {top(unrated('apred', 'ratings'), TOP)}""",
     "predict_nbcf": f"""{_knn_test(EVT)}
+SELECT user_id, item_id, rating, predicted_rating FROM kp""",
+    "predict_nbcf_items": f"""{EVT},
+{stats(ent='item_id', oth='user_id')},
+{cosine(ent='item_id', oth='user_id')},
+{_knn_cells('test', 'item_id', 'user_id', 'cent', 'sims', 'ust')}
 SELECT user_id, item_id, rating, predicted_rating FROM kp""",
     "nbcf_evaluate": f"""{_knn_test(EVT)}
 SELECT COUNT(*) AS n_cells,

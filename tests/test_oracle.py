@@ -1,7 +1,6 @@
 """Every registered query with SQL: Spark result == DuckDB result (sf0.001)."""
 
 import math
-import os
 
 import duckdb
 import pytest
