@@ -52,11 +52,15 @@ def in_train(user_col="user_id", item_col="item_id", train_buckets: int = SPLIT_
 
 
 def pearson_from_sums(n, sx, sy, sxy, sxx, syy, min_common: int = 2,
-                      min_std: float = 1e-10) -> Column:
+                      min_std: float = 1e-10, spread_x=None, spread_y=None) -> Column:
     """Pearson correlation over co-rated items from the six sufficient sums (M1).
 
     0 unless at least ``min_common`` common items and both population
-    standard deviations exceed ``min_std``; clipped to [-1, 1].
+    standard deviations exceed ``min_std``; clipped to [-1, 1]. ``spread_x``
+    / ``spread_y`` (max - min of each side over the common items) detect a
+    constant side exactly; the one-pass variance ``n*sxx - sx^2`` is exact for
+    integer-valued ratings but, for other values, cancellation can leave a
+    tiny positive remainder where the true variance is 0.
     """
     n, sx, sy, sxy, sxx, syy = map(_c, (n, sx, sy, sxy, sxx, syy))
     vx = n * sxx - sx * sx
@@ -64,6 +68,10 @@ def pearson_from_sums(n, sx, sy, sxy, sxx, syy, min_common: int = 2,
     cov = n * sxy - sx * sy
     ok = (n >= min_common) & (vx > 0) & (vy > 0) & \
          (F.sqrt(vx) / n > min_std) & (F.sqrt(vy) / n > min_std)
+    if spread_x is not None:
+        ok = ok & (_c(spread_x) > 0)
+    if spread_y is not None:
+        ok = ok & (_c(spread_y) > 0)
     r = cov / (F.sqrt(vx) * F.sqrt(vy))
     return F.when(ok, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r))).otherwise(F.lit(0.0))
 

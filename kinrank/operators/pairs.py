@@ -28,6 +28,7 @@ from kinrank.schema import NEIGHBOUR
 from kinrank.session import parallelism
 
 ALL_STATS = ("n_common", "sum_x", "sum_y", "sum_xy", "sum_xx", "sum_yy")
+SPREAD_STATS = ("spread_x", "spread_y")
 
 
 def _side(df: DataFrame, entity: str, through: str, value: str, carry: list[str],
@@ -97,6 +98,8 @@ def pair_stats(left: DataFrame, right: DataFrame | None = None, *, entity: str,
         "sum_xy": F.sum(x * y).alias("sum_xy"),
         "sum_xx": F.sum(x * x).alias("sum_xx"),
         "sum_yy": F.sum(y * y).alias("sum_yy"),
+        "spread_x": (F.max(x) - F.min(x)).alias("spread_x"),
+        "spread_y": (F.max(y) - F.min(y)).alias("spread_y"),
     }
     aggs = [exprs[s] for s in stats]
     aggs += [F.max(c + "_l").alias(c + "_l") for c in carry_left]

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from kinrank.functions.columns import cosine_from_sums, overlap_from_sums, pearson_from_sums
 from kinrank.operators.centering import centered, entity_stats
-from kinrank.operators.pairs import DEFAULT_HOT_THRESHOLD, pair_stats
+from kinrank.operators.pairs import ALL_STATS, DEFAULT_HOT_THRESHOLD, SPREAD_STATS, pair_stats
 from kinrank.schema import ITEM, NEIGHBOUR, RATING, SIM, USER
 
 MEASURES = ("corated", "overlap", "cosine")
@@ -49,8 +49,9 @@ def similarity(ratings: DataFrame, measure: str | Callable[[dict], Column] = "ov
     kw = dict(entity=entity, through=through, hot_threshold=hot_threshold)
     if measure == "corated":
         # Pearson is shift-invariant: raw ratings give the same value as centred ones.
-        ps = pair_stats(ratings, other, value=RATING, **kw)
-        sim = pearson_from_sums("n_common", "sum_x", "sum_y", "sum_xy", "sum_xx", "sum_yy")
+        ps = pair_stats(ratings, other, value=RATING, stats=ALL_STATS + SPREAD_STATS, **kw)
+        sim = pearson_from_sums("n_common", "sum_x", "sum_y", "sum_xy", "sum_xx", "sum_yy",
+                                spread_x="spread_x", spread_y="spread_y")
     else:
         left = _prepared(ratings, entity)
         right = _prepared(other, entity) if other is not None else None

@@ -80,12 +80,14 @@ def corated(src="valid", name="sims", other=None):
     vy = "(n * syy - sy * sy)"
     return f"""{name}_p AS (
   SELECT a.user_id, b.user_id AS neighbour_id, COUNT(*) AS n, SUM(a.rating) AS sx, SUM(b.rating) AS sy,
-         SUM(a.rating * b.rating) AS sxy, SUM(a.rating * a.rating) AS sxx, SUM(b.rating * b.rating) AS syy
+         SUM(a.rating * b.rating) AS sxy, SUM(a.rating * a.rating) AS sxx, SUM(b.rating * b.rating) AS syy,
+         MAX(a.rating) - MIN(a.rating) AS spx, MAX(b.rating) - MIN(b.rating) AS spy
   FROM {src} a JOIN {right} b ON a.item_id = b.item_id AND a.user_id {cmp} b.user_id
   GROUP BY a.user_id, b.user_id),
 {name} AS (
   SELECT user_id, neighbour_id, n AS n_common,
          CASE WHEN n >= 2 AND {vx} > 0 AND {vy} > 0 AND sqrt({vx}) / n > 1e-10 AND sqrt({vy}) / n > 1e-10
+                   AND spx > 0 AND spy > 0
               THEN greatest({D(-1)}, least({D(1)}, (n * sxy - sx * sy) / (sqrt({vx}) * sqrt({vy}))))
               ELSE {D(0)} END AS similarity
   FROM {name}_p)"""

@@ -172,3 +172,14 @@ def test_measure_as_a_function(orders):
         return F.when((c["sum_xx"] > 0) & (c["sum_yy"] > 0),
                       c["sum_xy"] / (F.sqrt(c["sum_xx"]) * F.sqrt(c["sum_yy"]))).otherwise(F.lit(0.0))
     assert _rows(similarity(orders, mine)) == _rows(similarity(orders, "overlap"))
+
+
+def test_corated_invariant_under_centring(orders):
+    """Pearson over co-rated items does not change when each user's ratings
+    are shifted by their mean (M1 on raw ratings = M1 on centred ratings)."""
+    from kinrank.operators.centering import centered
+    c = centered(orders).select("user_id", "item_id", F.col("centered").alias("rating"))
+    a = {(r[0], r[1]): r[3] for r in similarity(orders, "corated").collect()}
+    b = {(r[0], r[1]): r[3] for r in similarity(c, "corated").collect()}
+    assert a.keys() == b.keys()
+    assert all(abs(a[k] - b[k]) < 1e-9 for k in a)
