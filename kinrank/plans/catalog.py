@@ -274,10 +274,12 @@ def q_recommend_single_user(spark, d):
 def q_recommend_for_vector(spark, d):
     train, test = orders_split(spark, d)
     # A new user given only by a vector of ratings: the held-out ratings of
-    # the first test user, under a fresh id.
+    # the first test user, under a fresh id (-1 - that user's id). The id is
+    # derived from the data, not a literal: a constant join key would make
+    # the optimiser turn every join on it into a cross product.
     first = test.agg(F.min(USER).alias("_u"))
     vec = (test.join(first, test[USER] == first["_u"], "left_semi")
-           .select(F.lit(-1).cast("bigint").alias(USER), ITEM, RATING))
+           .select((F.lit(-1) - F.col(USER)).alias(USER), ITEM, RATING))
     sims = similarity(vec, "overlap", other=train)
     nb = materialize(neighbours.top_neighbours(sims, N_NEIGHBOURS, THRESHOLD, symmetric_input=True))
     preds = predict.predict_from_neighbours(nb, train, target_stats=centering.user_means(vec))

@@ -394,7 +394,7 @@ one AS (SELECT * FROM valid WHERE user_id = (SELECT MIN(user_id) FROM valid)),
 {predict()}
 {top(unrated('pred', 'valid'), TOP)}""",
     "recommend_for_vector": f"""{ORD},
-vec AS (SELECT CAST(-1 AS BIGINT) AS user_id, item_id, rating FROM test
+vec AS (SELECT -1 - user_id AS user_id, item_id, rating FROM test
         WHERE user_id = (SELECT MIN(user_id) FROM test)),
 {stats(src='vec', name='vst', cname='vcent')},
 {stats()},
