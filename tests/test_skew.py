@@ -32,3 +32,20 @@ def test_predictions_with_split_neighbour_join(spark):
     a = predict.predict_from_neighbours(nb, train, hot_threshold=None)
     b = predict.predict_from_neighbours(nb, train, hot_threshold=4)
     assert _rows(a) == _rows(b)
+
+
+def test_hot_item_spreads_over_tasks(spark):
+    """One item rated by every user: the plain self-join makes all of its
+    pairs in one task; the split spreads them over chunk-pair cells."""
+    import sys, os
+    sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "scripts"))
+    from skew_check import hot_ratings, spread
+    from kinrank.operators.pairs import pair_rows
+
+    r = hot_ratings(spark, "/root/testdata/sf0.001")
+    total_p, largest_p, _ = spread(pair_rows(r, entity="user_id", through="item_id", value="rating",
+                                             hot_threshold=None))
+    total_s, largest_s, _ = spread(pair_rows(r, entity="user_id", through="item_id", value="rating",
+                                             hot_threshold=16))
+    assert total_p == total_s
+    assert largest_s < largest_p / 2
