@@ -1,4 +1,4 @@
-"""Ratings as a Structured Streaming source."""
+"""Ratings as a Structured Streaming source, with running per-user state."""
 
 from __future__ import annotations
 
@@ -22,3 +22,15 @@ def running_user_stats(stream: DataFrame) -> DataFrame:
     return stream.groupBy(USER).agg(F.count(F.lit(1)).alias("n"),
                                     F.sum(RATING).alias("rating_sum"),
                                     F.avg(RATING).alias("mean_rating"))
+
+
+def running_rater_quality(stream: DataFrame) -> DataFrame:
+    """Constant raters (C1) kept current as ratings arrive: a user is constant
+    while all of their ratings are equal (max = min, which also covers a
+    single rating). State per user is four numbers, so it does not grow with
+    the user's history; ``update`` mode emits only users whose state changed."""
+    agg = stream.groupBy(USER).agg(F.count(F.lit(1)).alias("rating_count"),
+                                   F.min(RATING).alias("min_rating"),
+                                   F.max(RATING).alias("max_rating"),
+                                   F.avg(RATING).alias("mean_rating"))
+    return agg.withColumn("constant", F.col("min_rating") == F.col("max_rating"))
