@@ -10,11 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed values of the deterministic train/test split (hash of the cell).
-SPLIT_USER_MULT = 7919
-SPLIT_ITEM_MULT = 104729
-SPLIT_BUCKETS = 10
-SPLIT_TRAIN_BUCKETS = 8
+from kinrank.constants import (CLIP_HIGH, CLIP_LOW, PEARSON_MIN_COMMON, PEARSON_MIN_STD,
+                               SPLIT_BUCKETS, SPLIT_ITEM_MULT, SPLIT_TRAIN_BUCKETS,
+                               SPLIT_USER_MULT)
 
 
 def _c(c) -> Column:
@@ -27,7 +25,7 @@ def guarded_ratio(num, den, otherwise: float | None = 0.0) -> Column:
     return F.when(den > 0, num / den).otherwise(F.lit(otherwise).cast("double"))
 
 
-def clip(c, lo: float = 0.0, hi: float = 5.0) -> Column:
+def clip(c, lo: float = CLIP_LOW, hi: float = CLIP_HIGH) -> Column:
     """Clamp into ``[lo, hi]`` (P10)."""
     return F.greatest(F.lit(float(lo)), F.least(F.lit(float(hi)), _c(c)))
 
@@ -51,8 +49,8 @@ def in_train(user_col="user_id", item_col="item_id", train_buckets: int = SPLIT_
     return hash_bucket(user_col, item_col, buckets) < F.lit(train_buckets)
 
 
-def pearson_from_sums(n, sx, sy, sxy, sxx, syy, min_common: int = 2,
-                      min_std: float = 1e-10, spread_x=None, spread_y=None) -> Column:
+def pearson_from_sums(n, sx, sy, sxy, sxx, syy, min_common: int = PEARSON_MIN_COMMON,
+                      min_std: float = PEARSON_MIN_STD, spread_x=None, spread_y=None) -> Column:
     """Pearson correlation over co-rated items from the six sufficient sums (M1).
 
     0 unless at least ``min_common`` common items and both population

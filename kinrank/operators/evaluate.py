@@ -13,11 +13,7 @@ from kinrank.operators.skew import split_join
 from kinrank.session import materialize
 from kinrank.schema import ITEM, NEIGHBOUR, PRED, RATING, SIM, USER
 
-# Fractions of the evaluation sample (percent) and the hash
-# multipliers of the sample buckets.
-FRACTIONS = (10, 30, 50, 70, 100)
-SAMPLE_USER_MULT = 31
-SAMPLE_ITEM_MULT = 17
+from kinrank.constants import FRACTIONS, SAMPLE_ITEM_MULT, SAMPLE_USER_MULT
 
 
 def split(ratings: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kinrank.constants import BIASED_MAX_ITEMS, CONSTANT_REPORT_ROWS
 from kinrank.schema import ITEM, RATING, USER
 
 
@@ -31,7 +32,7 @@ def constant_rater_summary(ratings: DataFrame) -> DataFrame:
                  (F.avg(F.when(_is_constant(), 1.0).otherwise(0.0)) * F.lit(100.0)).alias("percent"))
 
 
-def constant_rater_values(ratings: DataFrame, limit: int = 80) -> DataFrame:
+def constant_rater_values(ratings: DataFrame, limit: int = CONSTANT_REPORT_ROWS) -> DataFrame:
     """Constant raters with their (distinct) rating value, first ``limit`` by user.
     The limit is the report size."""
     c = constant_raters(ratings)
@@ -59,12 +60,12 @@ def _is_biased(max_items: int):
     return (F.col("distinct_ratings") == F.lit(1)) | (F.col("num_rated_items") <= F.lit(max_items))
 
 
-def biased_raters(ratings: DataFrame, max_items: int = 2) -> DataFrame:
+def biased_raters(ratings: DataFrame, max_items: int = BIASED_MAX_ITEMS) -> DataFrame:
     """Users with a single rating value or at most ``max_items`` items."""
     return rater_behaviour(ratings).where(_is_biased(max_items))
 
 
-def biased_rater_summary(ratings: DataFrame, max_items: int = 2) -> DataFrame:
+def biased_rater_summary(ratings: DataFrame, max_items: int = BIASED_MAX_ITEMS) -> DataFrame:
     b = rater_behaviour(ratings)
     return b.agg(F.count(F.lit(1)).alias("total_users"),
                  F.sum(F.when(_is_biased(max_items), 1).otherwise(0)).cast("bigint").alias("biased_users"),

@@ -22,16 +22,9 @@ from kinrank.schema import ITEM, NEIGHBOUR, PRED, RATING, SIM, USER
 from kinrank.session import materialize
 from kinrank.sources import ratings as src
 
-# Fixed set-up values of the reference's experiments.
-N_NEIGHBOURS = 10
-THRESHOLD = 0.5
-DEMO_THRESHOLD = 0.3
-TOP = 5
-DEMO_SCORED = 10
-SWEEP = (2, 16)
-K_RATERS = 10
-N_RECOMMEND = 10
-ALS_RANK, ALS_REG, ALS_ITER, SEED = 6, 0.001, 20, 42
+from kinrank.constants import (ALS_ITER, ALS_RANK, ALS_REG, CONSTANT_REPORT_ROWS,  # noqa: F401
+                               DEMO_SCORED, DEMO_THRESHOLD, HISTORY_SAMPLE, K_RATERS,
+                               N_NEIGHBOURS, N_RECOMMEND, SEED, SWEEP, THRESHOLD, TOP)
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -130,7 +123,7 @@ def q_constant_rater_summary(spark, d):
 
 @register("constant_rater_values")
 def q_constant_rater_values(spark, d):
-    return quality.constant_rater_values(orders_ratings(spark, d), 80)
+    return quality.constant_rater_values(orders_ratings(spark, d), CONSTANT_REPORT_ROWS)
 
 
 @register("ratings_without_constant")
@@ -241,7 +234,7 @@ def q_unrated_items(spark, d):
 @register("user_history")
 def q_user_history(spark, d):
     train, test = orders_split(spark, d)
-    return predict.history_sample(predict.history(test, train), 3)
+    return predict.history_sample(predict.history(test, train), HISTORY_SAMPLE)
 
 
 @register("predict_uncentered")

@@ -11,8 +11,12 @@ engine-dependent order are rounded to 6 digits; ties break by id.
 
 from __future__ import annotations
 
-from kinrank.plans.catalog import (DEMO_SCORED, DEMO_THRESHOLD, K_RATERS, N_NEIGHBOURS,
-                                   N_RECOMMEND, SWEEP, THRESHOLD, TOP)
+from kinrank.constants import (BIASED_MAX_ITEMS, CLIP_HIGH, CLIP_LOW, CONSTANT_REPORT_ROWS,
+                               DEMO_SCORED, DEMO_THRESHOLD, FRACTIONS, HISTORY_SAMPLE, K_RATERS,
+                               KNN_EPSILON, N_NEIGHBOURS, N_RECOMMEND, PEARSON_MIN_COMMON,
+                               PEARSON_MIN_STD, SAMPLE_ITEM_MULT, SAMPLE_USER_MULT, SPLIT_BUCKETS,
+                               SPLIT_ITEM_MULT, SPLIT_TRAIN_BUCKETS, SPLIT_USER_MULT, SWEEP,
+                               THRESHOLD, TOP)
 
 D = "CAST({} AS DOUBLE)".format
 
@@ -30,8 +34,9 @@ R_EVENTS = """ratings AS (
   WHERE item_id IS NOT NULL AND r IS NOT NULL AND user_id IS NOT NULL
   GROUP BY user_id, item_id)"""
 
-SPLIT = """train AS (SELECT * FROM ratings WHERE (user_id * 7919 + item_id * 104729) % 10 < 8),
-test AS (SELECT * FROM ratings WHERE (user_id * 7919 + item_id * 104729) % 10 >= 8)"""
+_CELL = f"(user_id * {SPLIT_USER_MULT} + item_id * {SPLIT_ITEM_MULT}) % {SPLIT_BUCKETS}"
+SPLIT = f"""train AS (SELECT * FROM ratings WHERE {_CELL} < {SPLIT_TRAIN_BUCKETS}),
+test AS (SELECT * FROM ratings WHERE {_CELL} >= {SPLIT_TRAIN_BUCKETS})"""
 
 
 def stats(src="train", name="ust", cname="cent", ent="user_id", oth="item_id"):
@@ -86,7 +91,8 @@ def corated(src="valid", name="sims", other=None):
   GROUP BY a.user_id, b.user_id),
 {name} AS (
   SELECT user_id, neighbour_id, n AS n_common,
-         CASE WHEN n >= 2 AND {vx} > 0 AND {vy} > 0 AND sqrt({vx}) / n > 1e-10 AND sqrt({vy}) / n > 1e-10
+         CASE WHEN n >= {PEARSON_MIN_COMMON} AND {vx} > 0 AND {vy} > 0
+                   AND sqrt({vx}) / n > {PEARSON_MIN_STD!r} AND sqrt({vy}) / n > {PEARSON_MIN_STD!r}
                    AND spx > 0 AND spy > 0
               THEN greatest({D(-1)}, least({D(1)}, (n * sxy - sx * sy) / (sqrt({vx}) * sqrt({vy}))))
               ELSE {D(0)} END AS similarity
@@ -232,8 +238,8 @@ kt AS (
                  FROM kj) x WHERE rk <= {k}),
 ka AS (SELECT {ent}, {oth}, SUM(similarity * centered) AS num, SUM(abs(similarity)) AS den FROM kt GROUP BY {ent}, {oth}),
 kp AS (
-  SELECT x.*, round(greatest({D(0)}, least({D(5)},
-           COALESCE(m.mean_rating, {D(0)}) + COALESCE(a.num, {D(0)}) / (COALESCE(a.den, {D(0)}) + 1e-8))), 6)
+  SELECT x.*, round(greatest({D(CLIP_LOW)}, least({D(CLIP_HIGH)},
+           COALESCE(m.mean_rating, {D(0)}) + COALESCE(a.num, {D(0)}) / (COALESCE(a.den, {D(0)}) + {KNN_EPSILON!r}))), 6)
          AS predicted_rating
   FROM {cells} x LEFT JOIN ka a ON a.{ent} = x.{ent} AND a.{oth} = x.{oth}
   LEFT JOIN {means} m ON m.{ent} = x.{ent})"""
@@ -306,18 +312,21 @@ FROM s""",
     "constant_rater_values": f"""{W}{R_ORDERS},
 {CONST}
 SELECT * FROM (SELECT DISTINCT r.user_id, c.rating_count, r.rating FROM ratings r JOIN c ON c.user_id = r.user_id) x
-ORDER BY user_id, rating LIMIT 80""",
+ORDER BY user_id, rating LIMIT {CONSTANT_REPORT_ROWS}""",
     "ratings_without_constant": f"""{W}{R_ORDERS},
 {CONST}
 SELECT user_id, item_id, rating FROM ratings WHERE user_id NOT IN (SELECT user_id FROM c)""",
     "biased_raters": f"""{W}{R_ORDERS},
 {BIASED}
-SELECT user_id, distinct_ratings, num_rated_items FROM b WHERE distinct_ratings = 1 OR num_rated_items <= 2""",
+SELECT user_id, distinct_ratings, num_rated_items FROM b
+WHERE distinct_ratings = 1 OR num_rated_items <= {BIASED_MAX_ITEMS}""",
     "biased_rater_summary": f"""{W}{R_ORDERS},
 {BIASED}
 SELECT COUNT(*) AS total_users,
-  CAST(SUM(CASE WHEN distinct_ratings = 1 OR num_rated_items <= 2 THEN 1 ELSE 0 END) AS BIGINT) AS biased_users,
-  round(AVG(CASE WHEN distinct_ratings = 1 OR num_rated_items <= 2 THEN {D(1)} ELSE {D(0)} END) * {D(100)}, 6) AS percent
+  CAST(SUM(CASE WHEN distinct_ratings = 1 OR num_rated_items <= {BIASED_MAX_ITEMS} THEN 1 ELSE 0 END) AS BIGINT)
+    AS biased_users,
+  round(AVG(CASE WHEN distinct_ratings = 1 OR num_rated_items <= {BIASED_MAX_ITEMS} THEN {D(1)} ELSE {D(0)} END)
+        * {D(100)}, 6) AS percent
 FROM b""",
     "co_rated_pairs": f"""{ORD}
 SELECT a.user_id, b.user_id AS neighbour_id, COUNT(*) AS n_common
@@ -370,7 +379,7 @@ h AS (SELECT user_id, item_id, rating FROM test
 hc AS (SELECT user_id, COUNT(*) AS n_rated FROM h GROUP BY user_id)
 SELECT x.user_id, hc.n_rated, x.item_id, x.rating, CAST(x.rk AS INTEGER) AS sample_rank FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY item_id) AS rk FROM h) x
-JOIN hc ON hc.user_id = x.user_id WHERE x.rk <= 3""",
+JOIN hc ON hc.user_id = x.user_id WHERE x.rk <= {HISTORY_SAMPLE}""",
     "predict_uncentered": f"""{OV_NB}
 SELECT nb.user_id, t.item_id, round(SUM(nb.similarity * t.rating) / SUM(nb.similarity), 6) AS predicted_rating
 FROM nb JOIN train t ON t.user_id = nb.neighbour_id
@@ -432,8 +441,8 @@ SELECT COUNT(*) AS n_cells,
     "rmse_by_fraction": f"""{_knn_test(EVT)}
 SELECT f.fraction, COUNT(*) AS n_cells,
   round(sqrt(avg((predicted_rating - rating) * (predicted_rating - rating))), 6) AS rmse
-FROM kp JOIN (VALUES (10), (30), (50), (70), (100)) f(fraction)
-  ON (kp.user_id * 31 + kp.item_id * 17) % 100 < f.fraction
+FROM kp JOIN (VALUES {", ".join(f"({f})" for f in FRACTIONS)}) f(fraction)
+  ON (kp.user_id * {SAMPLE_USER_MULT} + kp.item_id * {SAMPLE_ITEM_MULT}) % 100 < f.fraction
 GROUP BY f.fraction""",
     "recommend_nbcf": _knn_catalogue("user_id", "item_id"),
     "recommend_users_for_item": _knn_catalogue("item_id", "user_id"),
