@@ -23,7 +23,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinrank.operators.skew import DEFAULT_BROADCAST_LIMIT, DEFAULT_HOT_THRESHOLD, hot_keys, salted_join
+from kinrank.operators.skew import (DEFAULT_BROADCAST_LIMIT, DEFAULT_HOT_THRESHOLD, join_profile,
+                                   output_partitions, salted_join)
 from kinrank.schema import NEIGHBOUR
 from kinrank.session import parallelism
 
@@ -54,18 +55,19 @@ def pair_rows(left: DataFrame, right: DataFrame | None = None, *, entity: str, t
     R = _side(right if right is not None else left, entity, through, value, carry_right, "_b", "_y", "_r")
     cond = (F.col("_a") < F.col("_b")) if self_mode else (F.col("_a") != F.col("_b"))
 
-    n_hot, hot = 0, None
+    spark = left.sparkSession
+    n_hot, hot, n = 0, None, parallelism(spark)
     if hot_threshold is not None:
-        hot = hot_keys(L.select("_t"), R.select("_t"), "_t", hot_threshold)
-        n_hot = hot.count()                       # one scalar; decides the plan shape
+        hot, n_hot, rows = join_profile(L.select("_t"), R.select("_t"), "_t", hot_threshold)
+        n = output_partitions(spark, rows // 2 if self_mode else rows)
     if n_hot:
-        return salted_join(L, R, "_t", "_a", "_b", hot, n_hot, cond, broadcast_limit)
+        return salted_join(L, R, "_t", "_a", "_b", hot, n_hot, cond, broadcast_limit, n)
     if self_mode:
-        # Plain self-join of one expression: both sides share one exchange.
+        # Plain self-join of one expression: both sides share one exchange on
+        # the key, with an explicit count sized by the pair count.
         base = left.select(F.col(entity).alias("_e"), F.col(through).alias("_t"),
                            F.col(value).cast("double").alias("_v"), *carry_left)
-        # One exchange on the key with an explicit count, shared by both sides.
-        base = base.repartition(parallelism(left.sparkSession), "_t")
+        base = base.repartition(n, "_t")
         a, b = base.alias("a"), base.alias("b")
         j = a.join(b, (F.col("a._t") == F.col("b._t")) & (F.col("a._e") < F.col("b._e")))
         return j.select(F.col("a._e").alias("_a"), F.col("b._e").alias("_b"),
@@ -73,7 +75,6 @@ def pair_rows(left: DataFrame, right: DataFrame | None = None, *, entity: str, t
                         F.col("b._v").alias("_y"),
                         *[F.col("a." + c).alias(c + "_l") for c in carry_left],
                         *[F.col("b." + c).alias(c + "_r") for c in carry_right])
-    n = parallelism(left.sparkSession)
     return L.repartition(n, "_t").join(R.repartition(n, "_t"), "_t").where(cond)
 
 

@@ -50,3 +50,15 @@ def test_hot_item_spreads_over_tasks(spark):
     assert total_p == total_s
     assert largest_s < largest_p
     assert largest_s <= 1.3 * total_s / tasks        # balanced: no task far above the mean
+
+
+def test_join_profile_counts_joined_rows(spark):
+    from kinrank.operators.skew import join_profile, output_partitions, ROWS_PER_TASK
+    left = spark.range(0, 500).select((F.col("id") % 7).alias("k"), F.col("id").alias("a"))
+    right = spark.range(0, 300).select((F.col("id") % 11).alias("k"), F.col("id").alias("b"))
+    hot, n_hot, rows = join_profile(left, right, "k", 60)
+    assert rows == left.join(right, "k").count()
+    assert n_hot == hot.count() == 7           # every shared key has more than 60 left rows
+    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert output_partitions(spark, 0) == base
+    assert output_partitions(spark, 1000 * ROWS_PER_TASK) == max(base, 1000)
