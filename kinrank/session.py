@@ -76,10 +76,13 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def parallelism(spark: SparkSession) -> int:
-    """Partition count for joins whose output is much larger than their
+    """Least partition count for joins whose output is much larger than their
     inputs (pair generation, neighbour expansion): the session's shuffle
-    partitions. Adaptive execution sizes ordinary shuffles by their input
-    and would run such a join in a few tasks; an explicit count is kept."""
+    partitions. Above it, ``skew.output_partitions`` sizes such a join by its
+    measured joined-row count. Adaptive execution sizes ordinary shuffles by
+    their input and would run such a join in a few tasks, so the count is
+    explicit. It cannot go lower either: when both sides of a join are
+    shuffles, Spark's planner re-plans them to at least this many partitions."""
     try:
         return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
     except (TypeError, ValueError):
