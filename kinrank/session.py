@@ -48,7 +48,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder.
 
     A cluster names a shared folder in ``spark.checkpoint.dir``; that one is
-    always used. Only when it is unset (local tests) a scratch folder is made.
+    always used. Only a local session (tests, local runs) without one gets a
+    scratch folder; a cluster session without one is an error.
     """
     try:
         sc = spark.sparkContext
@@ -59,6 +60,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
+                               "(a machine-local folder cannot hold checkpoints)")
         conf_dir = tempfile.mkdtemp(prefix="kinrank-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
