@@ -43,3 +43,16 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["user_id", "item_id", "predicted_rating", "rank"]
     assert df.count() >= 0
+
+
+@pytest.mark.parametrize("key,cols", [
+    ("als_predict", ["user_id", "item_id", "rating", "predicted_rating", "scored"]),
+    ("als_loss", ["n_users", "loss"]),
+    ("als_recommend", ["user_id", "item_id", "predicted_rating", "rank"]),
+    ("als_evaluate", ["model", "n_cells", "hits", "rmse"]),
+    ("model_comparison", ["model", "n_cells", "hits", "rmse"]),
+])
+def test_iterative_queries_run(spark, key, cols):
+    df = E.queries()[key](spark, SF)
+    assert df.columns == cols
+    assert df.count() > 0
