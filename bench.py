@@ -2,6 +2,9 @@
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
+``BENCH_EVENT_LOG_DIR`` (optional) writes Spark's event log there;
+``scripts/stage_times.py`` summarises it per stage.
+
 Prints one JSON line: total seconds over the headline queries plus each
 query's seconds. Every query is run to completion with the ``noop`` sink
 (full computation, nothing collected). The headline set first runs once on
@@ -63,7 +66,10 @@ def run(spark, fn, d):
 def main():
     d = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2))
+    log_dir = os.environ.get("BENCH_EVENT_LOG_DIR")          # optional: stage/task times
+    extra = ({"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir,
+              "spark.eventLog.compress": "false"} if log_dir else None)
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2), extra=extra)
     warm = os.path.join(os.path.dirname(d.rstrip("/")), "sf0.001")
     for fn in HEADLINE.values():                             # JIT warm-up on the smallest tables
         run(spark, fn, warm if os.path.isdir(warm) else d)
