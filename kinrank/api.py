@@ -123,7 +123,15 @@ class ALSRecommender:
         return factors.loss(self.model, self.ratings)
 
     def recommend(self, n: int = N_RECOMMEND, users=None) -> DataFrame:
-        u = None if users is None else _as_users(self.ratings.sparkSession, users)
+        """Top ``n`` unrated items for ``users`` (all users when None). An id
+        the model has no factors for raises ``ValueError`` (F5)."""
+        u = None
+        if users is not None:
+            u = _as_users(self.ratings.sparkSession, users)
+            known = self.model.model.userFactors.select(F.col("id").cast("bigint").alias(USER))
+            missing = [r[USER] for r in u.join(known, USER, "left_anti").limit(10).collect()]
+            if missing:
+                raise ValueError(f"unknown user id(s): {missing}")
         return factors.recommend(self.model, self.ratings, n, u)
 
     def evaluate(self, test: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -44,5 +44,7 @@ def test_als_and_comparison(spark):
     assert rows.count() == test.count()
     assert summary.first()["n_cells"] == test.count()
     assert als.recommend(3, [int(train.first()["user_id"])]).count() == 3
+    with pytest.raises(ValueError):
+        als.recommend(3, [10**9])
     both = compare(test, RaterKNN(10).fit(train), als)
     assert sorted(r["model"] for r in both.collect()) == ["als", "nbcf"]
