@@ -183,3 +183,16 @@ def test_corated_invariant_under_centring(orders):
     b = {(r[0], r[1]): r[3] for r in similarity(c, "corated").collect()}
     assert a.keys() == b.keys()
     assert all(abs(a[k] - b[k]) < 1e-9 for k in a)
+
+
+def test_catalogue_recommendation_for_a_subset(spark, events):
+    """Asking for some users gives exactly their rows of the full result."""
+    train, _ = evaluate.split(events)
+    sims = similarity(train, "cosine")
+    full = nbcf.recommend_knn(train, sims, 4, 5)
+    some = train.select("user_id").distinct().orderBy("user_id").limit(4)
+    sub = nbcf.recommend_knn(train, sims, 4, 5, entities=some)
+    want = full.join(some, "user_id", "left_semi")
+    cols = ["user_id", "item_id", "predicted_rating", "rank"]
+    assert _rows(sub, cols) == _rows(want, cols)
+    assert sub.select("user_id").distinct().count() == 4
