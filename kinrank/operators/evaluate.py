@@ -9,7 +9,7 @@ from kinrank.functions.columns import in_train, round6
 from kinrank.operators.centering import centered as center
 from kinrank.operators.centering import entity_stats
 from kinrank.operators.neighbours import top_neighbours
-from kinrank.operators.skew import split_join
+from kinrank.operators.skew import DEFAULT_HOT_THRESHOLD, split_join
 from kinrank.session import materialize
 from kinrank.schema import ITEM, NEIGHBOUR, PRED, RATING, SIM, USER
 
@@ -48,7 +48,8 @@ def rmse_by_n(sims: DataFrame, train: DataFrame, test: DataFrame, n_min: int = 2
 
 
 def sweep(neigh: DataFrame, train: DataFrame, test: DataFrame, n_min: int, n_max: int, *,
-          top: int | None = 5, candidates: str = "test_items") -> DataFrame:
+          top: int | None = 5, candidates: str = "test_items",
+          hot_threshold: int | None = DEFAULT_HOT_THRESHOLD) -> DataFrame:
     """RMSE per neighbourhood size from neighbours ranked up to ``n_max``.
 
     ``candidates``: ``"test_items"`` scores items occurring in the test table
@@ -70,7 +71,8 @@ def sweep(neigh: DataFrame, train: DataFrame, test: DataFrame, n_min: int, n_max
     r = center(train, USER, st).select(F.col(USER).alias(NEIGHBOUR), ITEM, "centered")
     if candidates == "test_items":
         r = r.join(test.select(ITEM).distinct(), ITEM, "left_semi")
-    j = split_join(neigh.select(USER, NEIGHBOUR, SIM, "rank"), r, NEIGHBOUR, USER, ITEM)
+    j = split_join(neigh.select(USER, NEIGHBOUR, SIM, "rank"), r, NEIGHBOUR, USER, ITEM,
+                   hot_threshold=hot_threshold)
     if candidates == "unrated":
         j = j.join(train.select(USER, ITEM), [USER, ITEM], "left_anti")
     wc = Window.partitionBy(USER, ITEM).orderBy("rank")

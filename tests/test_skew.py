@@ -62,3 +62,27 @@ def test_join_profile_counts_joined_rows(spark):
     base = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert output_partitions(spark, 0) == base
     assert output_partitions(spark, 1000 * ROWS_PER_TASK) == max(base, 1000)
+
+
+def test_operators_give_the_same_rows_with_every_key_hot(spark):
+    """A threshold of 2 makes nearly every join key hot, so each operator runs
+    its split path; the rows must equal the plain path's."""
+    from kinrank.operators import nbcf
+    from kinrank.sources.ratings import ratings_from_events
+
+    ev = ratings_from_events(spark, "/root/testdata/sf0.001").cache()
+    etrain, etest = evaluate.split(ev)
+    sims = similarity(etrain, "cosine")
+    cells = etest.select("user_id", "item_id", "rating")
+    assert _rows(nbcf.predict_knn(cells, etrain, sims, 5, hot_threshold=None)) == \
+        _rows(nbcf.predict_knn(cells, etrain, sims, 5, hot_threshold=2))
+    assert _rows(nbcf.recommend_knn(etrain, sims, 5, 4, hot_threshold=None)) == \
+        _rows(nbcf.recommend_knn(etrain, sims, 5, 4, hot_threshold=2))
+
+    r = ratings_from_orders(spark, "/root/testdata/sf0.001").cache()
+    train, test = evaluate.split(r)
+    nb = neighbours.top_neighbours(similarity(train, "overlap"), 16, 0.0, test.select("user_id"))
+    assert _rows(evaluate.sweep(nb, train, test, 2, 16, hot_threshold=None)) == \
+        _rows(evaluate.sweep(nb, train, test, 2, 16, hot_threshold=2))
+    assert _rows(predict.unrated_candidates(nb, train, hot_threshold=None)) == \
+        _rows(predict.unrated_candidates(nb, train, hot_threshold=2))
