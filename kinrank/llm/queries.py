@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from kinrank.llm import substring_dedup, suffix_dedup
+from kinrank.llm import decontaminate, minhash, packing, sharding, simhash, substring_dedup, suffix_dedup
 
 
 def queries():
     return {
         "op1_suffix_array_dedup": suffix_dedup.op1,
+        "op2_benchmark_decontamination": decontaminate.op2,
+        "op3_document_fingerprints": minhash.op3,
+        "op4_simhash_near_dedup": simhash.op4,
+        "op5_best_fit_packing": packing.op5,
+        "op6_sharding": sharding.op6,
         "op10_substring_dedup": substring_dedup.op10,
     }
 
