@@ -24,9 +24,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kinrank.llm.common import materialize
+from kinrank.llm.common import materialize, ranges
 
-SITES = "core long, ctx long, k long, lo int, hi int, settled boolean"
+#: ``a`` holds 48 bits of the core, then the count of windows less one, then
+#: whether the row is settled; in this order a shuffle's rows pack best.
+SITES = "a long, ctx long, lo int, k long"
+MOST = (1 << 15) - 1                  # windows in a row
 FULL = (Window.unboundedPreceding, Window.unboundedFollowing)
 
 
@@ -60,12 +63,27 @@ def settle_batch(core, ctx, k, lo, hi, keep_first: bool) -> pa.RecordBatch:
     else:                                            # every place of a context that has two
         done = places[group] > 1
     sk, slo, shi = _runs(k[done], lo[done], hi[done])
+    pieces = -(-(shi - slo + 1) // MOST)
+    slo = ranges(np.zeros(len(slo), np.int64), pieces) * MOST + np.repeat(slo, pieces)
+    sk, shi = np.repeat(sk, pieces), np.minimum(slo + MOST - 1, np.repeat(shi, pieces))
+    scatter = sk * np.int64(-7046029254386353131) + slo          # settled rows go anywhere
+    a = np.concatenate([_pack(core[first], hi[first] - lo[first], 0), _pack(scatter, shi - slo, 1)])
     return pa.RecordBatch.from_arrays([
-        pa.array(np.concatenate([core[first], sk * np.int64(-7046029254386353131) + slo])),
-        pa.array(np.concatenate([ctx[first], sk])), pa.array(np.concatenate([k[first], sk])),
-        pa.array(np.concatenate([lo[first], slo]).astype(np.int32)), pa.array(np.concatenate([hi[first], shi]).astype(np.int32)),
-        pa.array(np.concatenate([np.zeros(len(first), bool), np.ones(len(sk), bool)]))],
-        names=["core", "ctx", "k", "lo", "hi", "settled"])
+        pa.array(a), pa.array(np.concatenate([ctx[first], sk])),
+        pa.array(np.concatenate([lo[first], slo]).astype(np.int32)), pa.array(np.concatenate([k[first], sk]))],
+        names=["a", "ctx", "lo", "k"])
+
+
+def _pack(core, more, settled):
+    return (core & np.int64(~0xFFFF)) | (more << 1) | settled
+
+
+def unpacked(sites: DataFrame) -> DataFrame:
+    """``core, ctx, k, lo, hi, settled``, the rows of a core in one partition."""
+    core = F.shiftrightunsigned("a", 16)
+    return sites.repartition(core).select(
+        core.alias("core"), "ctx", "k", "lo", (F.col("lo") + F.shiftright(F.col("a").bitwiseAND(0xFFFF), 1).cast("int")).alias("hi"),
+        (F.col("a").bitwiseAND(1) == 1).alias("settled"))
 
 
 def repeated_windows(docs: DataFrame, find_sites, window_hashes, keep_first: bool) -> DataFrame:
@@ -84,7 +102,7 @@ def repeated_windows(docs: DataFrame, find_sites, window_hashes, keep_first: boo
             k = b.column("_k").to_numpy(zero_copy_only=False)[row] if len(row) else np.zeros(0, np.int64)
             yield settle_batch(core, ctx, k, lo, hi, keep_first)
 
-    found = docs.select("_k", "_b").mapInArrow(sites, SITES)
+    found = unpacked(docs.select("_k", "_b").mapInArrow(sites, SITES))
     by_core = Window.partitionBy("core").orderBy("ctx", "k", "lo")
     by_ctx = Window.partitionBy("core", "ctx").orderBy("k", "lo")
     is_first = F.coalesce(F.lag("ctx").over(by_core) != F.col("ctx"), F.lit(True))
@@ -116,14 +134,12 @@ def repeated_windows(docs: DataFrame, find_sites, window_hashes, keep_first: boo
             k, lo = cat(k), cat(lo)
             yield settle_batch(cat(first), cat(second), k, lo, lo, keep_first)
 
-    one = (docs.join(per_doc.where(F.size("open") > 0).select("_k", "open").hint("shuffle_hash"), "_k")
-           .mapInArrow(windows, SITES))
-    by_value = Window.partitionBy("core", "ctx").orderBy("k", "lo")
+    one = unpacked(docs.join(per_doc.where(F.size("open") > 0).select("_k", "open").hint("shuffle_hash"), "_k")
+                   .mapInArrow(windows, SITES))
     if keep_first:
-        again = F.row_number().over(by_value) > 1
+        again = F.row_number().over(by_ctx) > 1
     else:
-        full = by_value.rowsBetween(*FULL)
-        again = (F.first("k").over(full) != F.last("k").over(full)) | (F.first("lo").over(full) != F.last("lo").over(full))
+        again = twice
     more = (one.withColumn("_again", again).where("settled or _again")
             .groupBy(F.col("k").alias("_k")).agg(F.collect_list(span).alias("more")))
     none = F.array().cast("array<struct<lo:int,hi:int>>")
@@ -140,8 +156,6 @@ def _starts(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     order = np.argsort(lo, kind="stable")
     lo, hi = lo[order], np.maximum.accumulate(hi[order])
     lo[1:] = np.maximum(lo[1:], hi[:-1] + 1)
-    from kinrank.llm.common import ranges
-
     return ranges(lo, np.maximum(hi - lo + 1, 0))
 
 

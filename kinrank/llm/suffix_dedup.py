@@ -33,7 +33,7 @@ from kinrank.llm.common import arrow_sized, groups, keyed, ranges, ship, signed,
 from kinrank.llm.repeats import covered, repeated_windows
 
 WIDTH = 100
-RADIUS, TAIL = 16, 8
+RADIUS, TAIL = 16, 4
 TRIGGER = 2 * RADIUS + TAIL
 
 
