@@ -28,7 +28,7 @@ from kinrank.llm.common import arrow_sized, materialize, ship, signed, text_byte
 SHINGLE = 3
 BITS = 2
 SEED = 42
-LEAF = 4096
+LEAF = 8192
 STEP = 2
 
 

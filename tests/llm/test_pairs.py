@@ -55,7 +55,7 @@ def corpus(seed):
     return rows + rows[-5:]
 
 
-@pytest.mark.parametrize("leaf", [4096, 5])
+@pytest.mark.parametrize("leaf", [simhash.LEAF, 5])
 def test_components_match_all_pairs(spark, tmp_path, leaf):
     rows = corpus(3)
     ids = random.Random(4).sample(range(-99, 9999), len(rows))
@@ -63,7 +63,7 @@ def test_components_match_all_pairs(spark, tmp_path, leaf):
     spark.createDataFrame([(i, t, "clash", 1) for i, t in order], SCHEMA).repartition(5).write.parquet(f"{tmp_path}/documents.parquet")
     fps = [plain_fingerprint(t) for _, t in order]
     want = {order[i][0]: ("%016x" % fps[i], order[c][0]) for i, c in enumerate(plain_components(fps))}
-    if leaf == 4096:
+    if leaf == simhash.LEAF:
         got = {r.doc_id: (r.fingerprint, r.component_id) for r in simhash.op4(spark, str(tmp_path)).collect()}
     else:
         out = simhash.near_duplicates(spark.read.parquet(f"{tmp_path}/documents.parquet"), leaf=leaf).collect()
