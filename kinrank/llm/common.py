@@ -12,7 +12,7 @@ from kinrank.operators.indexing import dense_index
 from kinrank.session import materialize
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-LAST = (1 << 63) - 1
+BATCH_BYTES = 32 << 20                # bytes that an Arrow batch holds before it ends
 GROUP_BYTES = 1 << 21                 # bytes of text that a task's vector code works on at a time
 
 
@@ -31,8 +31,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def arrow_sized(df: DataFrame, rows: int = 2000) -> DataFrame:
     """Set the rows per Arrow batch for frames that carry whole texts; a batch
-    also ends at Spark's own byte limit, so long texts do not pile up."""
+    also ends at BATCH_BYTES, so long texts do not pile up."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return df
 
 
@@ -41,6 +42,13 @@ def text_bytes(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("binary"), F.lit(b""))
 
 
+def keys_are_unique(docs: DataFrame) -> bool:
+    """Whether every row has a doc_id of its own."""
+    seen = (docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+            .agg(F.max("n").alias("most"), F.sum(F.col("doc_id").isNull().cast("int")).alias("nulls")).first())
+    return (seen["most"] or 0) <= 1 and not seen["nulls"]
+
+
 def keyed(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``_k``, a whole number that orders documents by doc_id.
 
@@ -49,9 +57,7 @@ def keyed(docs: DataFrame, text: str = "text") -> DataFrame:
     hash of the text): rows that repeat both id and text are one document
     listed more than once and share a key, so they get equal answers.
     """
-    seen = (docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-            .agg(F.max("n").alias("most"), F.sum(F.col("doc_id").isNull().cast("int")).alias("nulls")).first())
-    if (seen["most"] or 0) <= 1 and not seen["nulls"]:
+    if keys_are_unique(docs):
         return docs.withColumn("_k", F.col("doc_id").cast("long"))
     with_hash = docs.withColumn("_t", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
     order = F.struct(F.col("doc_id").isNull().alias("a"), F.coalesce("doc_id", F.lit(0)).cast("long").alias("b"),
@@ -96,5 +102,5 @@ def signed(x) -> np.ndarray:
     return np.asarray(x, dtype=np.uint64).view(np.int64)
 
 
-__all__ = ["GROUP_BYTES", "LAST", "arrow_sized", "groups", "keyed", "materialize", "ranges", "ship", "signed",
+__all__ = ["GROUP_BYTES", "arrow_sized", "groups", "keyed", "keys_are_unique", "materialize", "ranges", "ship", "signed",
            "table", "text_bytes", "values"]

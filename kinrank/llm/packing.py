@@ -32,15 +32,27 @@ END = 0
 SALT_ROWS = 100_000                   # pieces ranked in one sort, about
 
 
-def plan(counts: dict[int, int], size: int = SIZE) -> list[tuple[int, int, int, int, int]]:
+Segment = tuple[int, int, int, int, int]
+
+
+def plan(counts: dict[int, int], size: int = SIZE) -> list[Segment]:
     """Segments (length, first rank, pieces, first sequence, offset) that place
-    ``counts[length]`` pieces of each length into sequences of ``size``."""
+    ``counts[length]`` pieces of each length into sequences of ``size``.
+
+    Small pieces spent in threes can be missed later, so the plan is also made
+    with complements of two lengths, of one and of none, and the fewest
+    sequences win."""
+    plans = [_plan(counts, size, most) for most in (3, 2, 1, 0)]
+    return min(plans, key=lambda p: max((first + many for _, _, many, first, _ in p), default=0))
+
+
+def _plan(counts: dict[int, int], size: int, most: int) -> list[Segment]:
     left = {n: c for n, c in counts.items() if c > 0}
     have = np.zeros(size + 1, np.int64)              # the same as an array
     for n, c in left.items():
         have[n] = c
     used: dict[int, int] = defaultdict(int)
-    out: list[tuple[int, int, int, int, int]] = []
+    out: list[Segment] = []
     sequences = 0
 
     def take(lengths: list[int], times: int, first: int, offset: int) -> None:
@@ -60,7 +72,9 @@ def plan(counts: dict[int, int], size: int = SIZE) -> list[tuple[int, int, int,
             first, sequences = sequences, sequences + left[n]
             take([n], left[n], first, 0)
             continue
-        for combo in _complements(n, gap, have):
+        for combo in _complements(n, gap, have) if most else ():
+            if len(combo) > most + 1:
+                break
             k = times(combo)
             if k > 0:
                 first, sequences = sequences, sequences + k

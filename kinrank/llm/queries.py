@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from kinrank.llm import decontaminate, minhash, packing, sharding, simhash, substring_dedup, suffix_dedup
+from kinrank.llm import (decontaminate, html_extract, minhash, packing, sharding, simhash, substring_dedup, suffix_dedup, token_store,
+                         toxicity)
 
 
 def queries():
@@ -13,6 +14,9 @@ def queries():
         "op4_simhash_near_dedup": simhash.op4,
         "op5_best_fit_packing": packing.op5,
         "op6_sharding": sharding.op6,
+        "op7_html_extraction": html_extract.op7,
+        "op8_token_files": token_store.op8,
+        "op9_toxicity": toxicity.op9,
         "op10_substring_dedup": substring_dedup.op10,
     }
 

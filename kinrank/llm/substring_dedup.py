@@ -66,31 +66,34 @@ def window_hashes(text, starts: np.ndarray):
 def _cut(batches):
     for b in batches:
         texts, spans = b.column("_b"), b.column("spans")
-        kept, runs, count = [], [], []
+        kept, runs, count, cleaned = [], [], [], []
         for i in range(b.num_rows):
             norm, first, last = words_of(texts[i].as_buffer())
             count.append(len(first))
             if not spans[i].is_valid:
                 kept.append(norm)
+                cleaned.append(texts[i].as_py())
                 runs.append([])
                 continue
             s, e = covered(spans[i], WIDTH)
             runs.append([{"start": p, "end": q} for p, q in zip(s.tolist(), e.tolist())])
             stay = [norm[first[p]:last[q - 1]] for p, q in zip([0, *e.tolist()], [*s.tolist(), len(first)]) if p < q]
             kept.append(b" ".join(stay))
+            cleaned.append(kept[-1])
         keep = [c for c in b.schema.names if c not in ("_k", "_b", "spans")]
         yield pa.RecordBatch.from_arrays(
             [*(b.column(c) for c in keep), pa.array(count, pa.int64()),
              pa.array(runs, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-             pa.array(kept, pa.binary()).cast(pa.string())],
-            names=[*keep, "n_words", "removed", "kept"])
+             pa.array(kept, pa.binary()).cast(pa.string()), pa.array(cleaned, pa.binary()).cast(pa.string())],
+            names=[*keep, "n_words", "removed", "kept", "cleaned"])
 
 
 def remove_repeated_passages(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """Remove each word covered by a WIDTH-word window that starts anywhere else too.
 
     ``doc_id, carried, n_words, removed array<struct<start,end>> (word numbers),
-    kept string`` (the words left, joined by one space), one row per row of
+    kept string (the words left, joined by one space), cleaned string`` (the
+    same where words went, else the text as it was), one row per row of
     ``docs``. Every place of a repeated window loses its words, the first one
     too. Null text has no words; texts of fewer than WIDTH words lose nothing.
     Rows that repeat both doc_id and text are one document listed twice and
@@ -106,7 +109,7 @@ def remove_repeated_passages(docs: DataFrame, carry: tuple[str, ...] = ()) -> Da
     spans = repeated_windows(d, find_sites, window_hashes, keep_first=False)
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in d.schema if f.name in ("doc_id", "carried"))
     return (d.join(spans.hint("shuffle_hash"), "_k", "left")
-            .mapInArrow(_cut, f"{kinds}, n_words long, removed array<struct<start:long,end:long>>, kept string"))
+            .mapInArrow(_cut, f"{kinds}, n_words long, removed array<struct<start:long,end:long>>, kept string, cleaned string"))
 
 
 def op10(spark, sf_dir):
