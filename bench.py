@@ -54,6 +54,10 @@ HEADLINE = {
     "predict_nbcf": catalog.q_predict_nbcf,
     "nbcf_orders": nbcf_orders,
     "als_evaluate": catalog.q_als_evaluate,
+    "recommend_nbcf": catalog.q_recommend_nbcf,
+    "rmse_by_n_corated": catalog.q_rmse_by_n_corated,
+    "als_recommend": catalog.q_als_recommend,
+    "recommend_final": catalog.q_recommend_final,
 }
 
 

@@ -128,10 +128,11 @@ class ALSRecommender:
         u = None
         if users is not None:
             u = _as_users(self.ratings.sparkSession, users)
-            known = self.model.model.userFactors.select(F.col("id").cast("bigint").alias(USER))
-            missing = [r[USER] for r in u.join(known, USER, "left_anti").limit(10).collect()]
-            if missing:
-                raise ValueError(f"unknown user id(s): {missing}")
+            missing = u.join(self.model.users, USER, "left_anti")
+            n_missing = missing.count()
+            if n_missing:
+                some = [r[USER] for r in missing.orderBy(USER).limit(10).collect()]
+                raise ValueError(f"{n_missing} unknown user id(s), the first of them: {some}")
         return factors.recommend(self.model, self.ratings, n, u)
 
     def evaluate(self, test: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -6,7 +6,6 @@ Everything else in the package imports them from here.
 
 # Rater quality.
 BIASED_MAX_ITEMS = 2             # a user with at most this many items is biased
-CONSTANT_REPORT_ROWS = 80        # rows of the constant-rater report
 
 # Similarity and prediction.
 PEARSON_MIN_COMMON = 2           # Pearson needs at least two co-rated items
@@ -20,9 +19,7 @@ N_NEIGHBOURS = 10                # neighbours per user
 THRESHOLD = 0.5                  # similarity a neighbour must exceed
 DEMO_THRESHOLD = 0.3             # threshold of the history-aware recommendation
 TOP = 5                          # recommendations kept per user
-DEMO_SCORED = 10                 # predictions scored before the history filter
 SWEEP = (2, 16)                  # neighbourhood sizes of the RMSE sweep
-HISTORY_SAMPLE = 3               # rated items shown per user
 K_RATERS = 10                    # raters per prediction in k-nearest-rater scoring
 N_RECOMMEND = 10                 # catalogue recommendations per user (or item)
 ALS_RANK = 6

@@ -39,9 +39,10 @@ def round6(c) -> Column:
 def hash_bucket(user_col="user_id", item_col="item_id", buckets: int = SPLIT_BUCKETS,
                 user_mult: int = SPLIT_USER_MULT, item_mult: int = SPLIT_ITEM_MULT) -> Column:
     """Deterministic bucket of a (user, item) cell. Independent of partitioning,
-    so a split is the same on any cluster size (``randomSplit`` is not)."""
-    return F.pmod(_c(user_col) * F.lit(user_mult) + _c(item_col) * F.lit(item_mult),
-                  F.lit(buckets))
+    so a split is the same on any cluster size (``randomSplit`` is not). Ids
+    are reduced before they are multiplied, so any 64-bit id fits."""
+    reduced = lambda c, mult: F.pmod(_c(c), F.lit(buckets)) * F.lit(mult % buckets)
+    return F.pmod(reduced(user_col, user_mult) + reduced(item_col, item_mult), F.lit(buckets))
 
 
 def in_train(user_col="user_id", item_col="item_id", train_buckets: int = SPLIT_TRAIN_BUCKETS,

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from kinrank.schema import ITEM, RATING, USER
 
+PROFILE_TOP = 5
+
 
 def entity_stats(ratings: DataFrame, entity: str = USER) -> DataFrame:
     """``entity, n, rating_sum, rating_sq_sum, mean_rating`` in one partial+final
@@ -53,8 +55,11 @@ def profiles(ratings: DataFrame, entity: str = USER) -> DataFrame:
     """Profile of each user (or item): a fixed-width summary vector of its
     ratings (A1b). Fixed width keeps a very active entity from becoming one
     unbounded array in one task; the full profile is the long ratings table
-    itself, clustered by ``entity``."""
+    itself, clustered by ``entity``. ``n_rated_v`` counts ratings from v up to
+    below v + 1 (the first also lower ones, the last also higher ones), so
+    these counts add up to ``n_ratings`` on any scale."""
     other = ITEM if entity == USER else USER
+    whole = F.least(F.lit(PROFILE_TOP), F.greatest(F.lit(0), F.floor(RATING)))
     return ratings.groupBy(entity).agg(
         F.count(F.lit(1)).alias("n_ratings"),
         F.countDistinct(other).alias(f"n_{'items' if entity == USER else 'users'}"),
@@ -63,5 +68,5 @@ def profiles(ratings: DataFrame, entity: str = USER) -> DataFrame:
         F.min(RATING).alias("min_rating"),
         F.max(RATING).alias("max_rating"),
         F.countDistinct(RATING).alias("n_distinct_ratings"),
-        *[F.sum(F.when(F.col(RATING) == F.lit(float(v)), 1).otherwise(0)).cast("bigint")
-          .alias(f"n_rated_{v}") for v in range(1, 6)])
+        *[F.sum(F.when(whole == v, 1).otherwise(0)).cast("bigint").alias(f"n_rated_{v}")
+          for v in range(PROFILE_TOP + 1)])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kinrank.functions.columns import in_train, round6
+from kinrank.functions.columns import hash_bucket, in_train, round6
 from kinrank.operators.centering import centered as center
 from kinrank.operators.centering import entity_stats
 from kinrank.operators.neighbours import top_neighbours
@@ -77,9 +77,10 @@ def sweep(neigh: DataFrame, train: DataFrame, test: DataFrame, n_min: int, n_max
         j = j.join(train.select(USER, ITEM), [USER, ITEM], "left_anti")
     wc = Window.partitionBy(USER, ITEM).orderBy("rank")
     run = wc.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    seg = (j.withColumn("_num", F.sum(F.col(SIM) * F.col("centered")).over(run))
-           .withColumn("_den", F.sum(F.abs(F.col(SIM))).over(run))
-           .withColumn("_next", F.lead("rank", 1, n_max + 1).over(wc))
+    seg = (j.select(USER, ITEM, "rank",                       # one pass for all three
+                    F.sum(F.col(SIM) * F.col("centered")).over(run).alias("_num"),
+                    F.sum(F.abs(F.col(SIM))).over(run).alias("_den"),
+                    F.lead("rank", 1, n_max + 1).over(wc).alias("_next"))
            .withColumn("a", F.greatest(F.col("rank"), F.lit(n_min)))
            .withColumn("b", F.least(F.col("_next") - 1, F.lit(n_max)))
            .where((F.col("a") <= F.col("b")) & (F.col("_den") > 0))
@@ -118,8 +119,7 @@ def best_n(sweep: DataFrame) -> DataFrame:
 
 
 def sample_bucket(buckets: int = 100):
-    return F.pmod(F.col(USER) * F.lit(SAMPLE_USER_MULT) + F.col(ITEM) * F.lit(SAMPLE_ITEM_MULT),
-                  F.lit(buckets))
+    return hash_bucket(USER, ITEM, buckets, SAMPLE_USER_MULT, SAMPLE_ITEM_MULT)
 
 
 def rmse_by_fraction(rows: DataFrame, fractions=FRACTIONS, pred_col: str = PRED,

@@ -12,8 +12,8 @@ def dense_index(df: DataFrame, col: str, name: str = "idx") -> DataFrame:
     """``col, idx``: 1-based position of each distinct value of ``col`` in
     ascending order, without moving all values into one task.
 
-    The distinct values are range-partitioned and sorted, then checkpointed
-    (so both passes below see the same partitions). Each row's position inside
+    The distinct values are range-partitioned and sorted, then kept
+    (``session.materialize``), so both passes below see the same partitions. Each row's position inside
     its partition comes from ``monotonically_increasing_id``; partition
     offsets come from a per-partition count, a table with one row per
     partition, so it is safe to rank and broadcast.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinrank.constants import BIASED_MAX_ITEMS, CONSTANT_REPORT_ROWS
+from kinrank.constants import BIASED_MAX_ITEMS
 from kinrank.schema import ITEM, RATING, USER
 
 
@@ -32,14 +32,11 @@ def constant_rater_summary(ratings: DataFrame) -> DataFrame:
                  (F.avg(F.when(_is_constant(), 1.0).otherwise(0.0)) * F.lit(100.0)).alias("percent"))
 
 
-def constant_rater_values(ratings: DataFrame, limit: int = CONSTANT_REPORT_ROWS) -> DataFrame:
-    """Constant raters with their (distinct) rating value, first ``limit`` by user.
-    The limit is the report size."""
+def constant_rater_values(ratings: DataFrame) -> DataFrame:
+    """Every constant rater with their (distinct) rating value."""
     c = constant_raters(ratings)
     vals = ratings.select(USER, RATING).join(c, USER, "left_semi").distinct()
-    return (vals.join(c.select(USER, "rating_count"), USER)
-            .select(USER, "rating_count", RATING)
-            .orderBy(USER, RATING).limit(limit))
+    return vals.join(c.select(USER, "rating_count"), USER).select(USER, "rating_count", RATING)
 
 
 def without_constant_raters(ratings: DataFrame) -> DataFrame:

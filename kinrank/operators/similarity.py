@@ -44,7 +44,8 @@ def similarity(ratings: DataFrame, measure: str | Callable[[dict], Column] = "ov
     ``other`` given (R9): each entity of ``ratings`` against every entity of
     ``other``. ``measure`` is a name from ``MEASURES`` or a function of the
     dict of sum columns (``n_common, sum_x, ...``, ``norm_l, norm_r``) (M7).
-    Pairs with fewer than ``min_common`` shared keys are left out.
+    Pairs with fewer than ``min_common`` shared keys are left out; Pearson is
+    0 for those kept with fewer than two.
     """
     kw = dict(entity=entity, through=through, hot_threshold=hot_threshold)
     if measure == "corated":
@@ -70,9 +71,6 @@ def similarity(ratings: DataFrame, measure: str | Callable[[dict], Column] = "ov
         else:
             raise ValueError(f"unknown measure {measure!r}; use one of {MEASURES} or a function")
     out = ps.select(entity, NEIGHBOUR, "n_common", sim.cast("double").alias(SIM))
-    if measure == "corated":
-        # Pearson is defined as 0 below two common items; keep those pairs with 0.
-        return out
     if min_common > 1:
         out = out.where(F.col("n_common") >= F.lit(min_common))
     return out

@@ -15,7 +15,9 @@ gives the exact joined-row count, sum over keys of m_left * m_right, which
 sets the join's task count (``output_partitions``) so that each task makes a
 bounded number of rows however much the join multiplies its inputs. The hot-key table
 is broadcast only when its row count is at most ``broadcast_limit``;
-beyond that it is shuffle-joined.
+beyond that it is shuffle-joined on (key, part), each row being given one of
+``SUB_BUCKETS`` parts and the table copied once per part, so no key is whole
+in one task on the way there either.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from kinrank.session import parallelism
 DEFAULT_HOT_THRESHOLD = 4096
 DEFAULT_BROADCAST_LIMIT = 2_000_000
 ROWS_PER_TASK = 20_000_000          # joined rows a join task is sized for
-MAX_PARTITIONS = 200_000
+SUB_BUCKETS = 64                    # parts of a hot key where the hot table is joined by a shuffle
 
 
 def _key_counts(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
@@ -67,9 +69,9 @@ def join_profile(left: DataFrame, right: DataFrame, key: str,
 def output_partitions(spark, joined_rows: int) -> int:
     """Tasks for a row-multiplying join: enough that each makes about
     ``ROWS_PER_TASK`` joined rows, never fewer than the session's shuffle
-    partitions, at most ``MAX_PARTITIONS``."""
+    partitions."""
     need = -(-joined_rows // ROWS_PER_TASK)
-    return int(min(MAX_PARTITIONS, max(parallelism(spark), need)))
+    return int(max(parallelism(spark), need))
 
 
 def split_join(left: DataFrame, right: DataFrame, key: str, left_salt: str, right_salt: str,
@@ -101,13 +103,20 @@ def salted_join(left: DataFrame, right: DataFrame, key: str, left_salt: str, rig
                 hot: DataFrame, n_hot: int, cond: Column | None = None,
                 broadcast_limit: int = DEFAULT_BROADCAST_LIMIT, n: int | None = None) -> DataFrame:
     """The split form of the join, given the hot-key table and its row count."""
-    hot_side = F.broadcast(hot) if n_hot <= broadcast_limit else hot
     one = F.lit(1)
-    ls = (left.join(hot_side, key, "left")
+
+    def with_hot(rows, salt):
+        if n_hot <= broadcast_limit:
+            return rows.join(F.broadcast(hot), key, "left")
+        part = F.pmod(F.xxhash64(salt, F.lit(1)), F.lit(SUB_BUCKETS)).cast("int")
+        copies = hot.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(SUB_BUCKETS - 1))))
+        return rows.withColumn("_part", part).join(copies, [key, "_part"], "left").drop("_part")
+
+    ls = (with_hot(left, left_salt)
           .withColumn("_p", F.pmod(F.xxhash64(left_salt), F.coalesce("_sl", one)).cast("int"))
           .withColumn("_q", F.explode(F.sequence(F.lit(0), F.coalesce("_sr", one) - 1)))
           .drop("_sl", "_sr"))
-    rs = (right.join(hot_side, key, "left")
+    rs = (with_hot(right, right_salt)
           .withColumn("_q", F.pmod(F.xxhash64(right_salt), F.coalesce("_sr", one)).cast("int"))
           .withColumn("_p", F.explode(F.sequence(F.lit(0), F.coalesce("_sl", one) - 1)))
           .drop("_sl", "_sr"))

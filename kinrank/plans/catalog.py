@@ -22,8 +22,7 @@ from kinrank.schema import ITEM, NEIGHBOUR, PRED, RATING, SIM, USER
 from kinrank.session import materialize
 from kinrank.sources import ratings as src
 
-from kinrank.constants import (ALS_ITER, ALS_RANK, ALS_REG, CONSTANT_REPORT_ROWS,  # noqa: F401
-                               DEMO_SCORED, DEMO_THRESHOLD, HISTORY_SAMPLE, K_RATERS,
+from kinrank.constants import (ALS_ITER, ALS_RANK, ALS_REG, CLIP_HIGH, CLIP_LOW, DEMO_THRESHOLD, K_RATERS,
                                N_NEIGHBOURS, N_RECOMMEND, SEED, SWEEP, THRESHOLD, TOP)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,9 +39,13 @@ def register(name: str):
 # --------------------------------------------------------------------- inputs
 # The ratings table is derived from the warehouse tables by a join and an
 # aggregate, and most plans read it several times (means, both sides of the
-# pair join, neighbours' ratings). It is written once to the session's
-# checkpoint folder so every branch reads the small aggregated table instead
-# of rescanning and re-joining the order lines.
+# pair join, neighbours' ratings). Those keep it (session.materialize) so every
+# branch reads the small aggregated table instead of rescanning and re-joining
+# the order lines; a plan with one read stays lazy from the scan on.
+def orders_once(spark, d):
+    return src.ratings_from_orders(spark, d)
+
+
 def orders_ratings(spark, d):
     return materialize(src.ratings_from_orders(spark, d))
 
@@ -62,7 +65,7 @@ def events_split(spark, d):
 # ---------------------------------------------------------- sources and shape
 @register("ratings_load")
 def q_ratings_load(spark, d):
-    return orders_ratings(spark, d)
+    return orders_once(spark, d)
 
 
 @register("utility_matrix")
@@ -72,22 +75,22 @@ def q_utility_matrix(spark, d):
 
 @register("ratings_profile")
 def q_ratings_profile(spark, d):
-    return src.ratings_profile(orders_ratings(spark, d))
+    return src.ratings_profile(orders_once(spark, d))
 
 
 @register("split_train")
 def q_split_train(spark, d):
-    return orders_split(spark, d)[0]
+    return evaluate.split(orders_once(spark, d))[0]
 
 
 @register("split_test")
 def q_split_test(spark, d):
-    return orders_split(spark, d)[1]
+    return evaluate.split(orders_once(spark, d))[1]
 
 
 @register("user_means")
 def q_user_means(spark, d):
-    return centering.user_means(orders_split(spark, d)[0])
+    return centering.user_means(evaluate.split(orders_once(spark, d))[0])
 
 
 @register("ratings_centered")
@@ -102,28 +105,28 @@ def _profiles(ratings, entity):
 
 @register("user_profiles")
 def q_user_profiles(spark, d):
-    return _profiles(orders_split(spark, d)[0], USER)
+    return _profiles(evaluate.split(orders_once(spark, d))[0], USER)
 
 
 @register("item_profiles")
 def q_item_profiles(spark, d):
-    return _profiles(orders_split(spark, d)[0], ITEM)
+    return _profiles(evaluate.split(orders_once(spark, d))[0], ITEM)
 
 
 # ------------------------------------------------------------- rater quality
 @register("constant_raters")
 def q_constant_raters(spark, d):
-    return quality.constant_raters(orders_ratings(spark, d))
+    return quality.constant_raters(orders_once(spark, d))
 
 
 @register("constant_rater_summary")
 def q_constant_rater_summary(spark, d):
-    return quality.constant_rater_summary(orders_ratings(spark, d)).withColumn("percent", round6("percent"))
+    return quality.constant_rater_summary(orders_once(spark, d)).withColumn("percent", round6("percent"))
 
 
 @register("constant_rater_values")
 def q_constant_rater_values(spark, d):
-    return quality.constant_rater_values(orders_ratings(spark, d), CONSTANT_REPORT_ROWS)
+    return quality.constant_rater_values(orders_ratings(spark, d))
 
 
 @register("ratings_without_constant")
@@ -133,12 +136,44 @@ def q_ratings_without_constant(spark, d):
 
 @register("biased_raters")
 def q_biased_raters(spark, d):
-    return quality.biased_raters(orders_ratings(spark, d))
+    return quality.biased_raters(orders_once(spark, d))
 
 
 @register("biased_rater_summary")
 def q_biased_rater_summary(spark, d):
-    return quality.biased_rater_summary(orders_ratings(spark, d)).withColumn("percent", round6("percent"))
+    return quality.biased_rater_summary(orders_once(spark, d)).withColumn("percent", round6("percent"))
+
+
+# The same on the baskets form, whose many short orders hold constant and
+# biased raters.
+@register("constant_raters_baskets")
+def q_constant_raters_baskets(spark, d):
+    return quality.constant_raters(src.ratings_from_baskets(spark, d))
+
+
+@register("constant_rater_summary_baskets")
+def q_constant_rater_summary_baskets(spark, d):
+    return quality.constant_rater_summary(src.ratings_from_baskets(spark, d)).withColumn("percent", round6("percent"))
+
+
+@register("constant_rater_values_baskets")
+def q_constant_rater_values_baskets(spark, d):
+    return quality.constant_rater_values(materialize(src.ratings_from_baskets(spark, d)))
+
+
+@register("ratings_without_constant_baskets")
+def q_ratings_without_constant_baskets(spark, d):
+    return quality.without_constant_raters(materialize(src.ratings_from_baskets(spark, d)))
+
+
+@register("biased_raters_baskets")
+def q_biased_raters_baskets(spark, d):
+    return quality.biased_raters(src.ratings_from_baskets(spark, d))
+
+
+@register("biased_rater_summary_baskets")
+def q_biased_rater_summary_baskets(spark, d):
+    return quality.biased_rater_summary(src.ratings_from_baskets(spark, d)).withColumn("percent", round6("percent"))
 
 
 # -------------------------------------------------------------- similarities
@@ -156,6 +191,13 @@ def q_similarity_corated(spark, d):
     return similarity(_valid_train(spark, d), "corated")
 
 
+@register("similarity_corated_baskets")
+def q_similarity_corated_baskets(spark, d):
+    """Pearson of parts that share orders, constant orders' ratings left out."""
+    valid = quality.without_constant_raters(materialize(src.ratings_from_baskets(spark, d)))
+    return similarity(valid, "corated", entity=ITEM, through=USER)
+
+
 @register("similarity_overlap")
 def q_similarity_overlap(spark, d):
     return similarity(orders_split(spark, d)[0], "overlap")
@@ -234,7 +276,7 @@ def q_unrated_items(spark, d):
 @register("user_history")
 def q_user_history(spark, d):
     train, test = orders_split(spark, d)
-    return predict.history_sample(predict.history(test, train), HISTORY_SAMPLE)
+    return predict.history_with_count(predict.history(test, train))
 
 
 @register("predict_uncentered")
@@ -248,7 +290,7 @@ def q_recommend_with_history(spark, d):
     train, test, nb = _overlap_neighbours(spark, d, DEMO_THRESHOLD)
     preds = predict.predict_from_neighbours(nb, train, items=test)
     hist = predict.history(test, train, test.select(USER))
-    return predict.recommend_with_history(preds, hist, DEMO_SCORED, TOP)
+    return predict.recommend_with_history(preds, hist, TOP)
 
 
 @register("recommend_single_user")
@@ -287,8 +329,8 @@ def q_rmse(spark, d):
     return evaluate.rmse(preds, test)
 
 
-def _sweep(spark, d):
-    train, test = orders_split(spark, d)
+def _sweep(spark, d, ratings=None):
+    train, test = evaluate.split(ratings if ratings is not None else orders_ratings(spark, d))
     sims = similarity(train, "overlap")
     return evaluate.rmse_by_n(sims, train, test, SWEEP[0], SWEEP[1], THRESHOLD, TOP)
 
@@ -320,9 +362,9 @@ def q_best_n(spark, d):
 
 @register("recommend_final")
 def q_recommend_final(spark, d):
-    n_best = evaluate.best_n(_sweep(spark, d)).first()
-    n = int(n_best["n"]) if n_best is not None else N_NEIGHBOURS     # one scalar
     ratings = orders_ratings(spark, d)
+    n_best = evaluate.best_n(_sweep(spark, d, ratings)).first()
+    n = int(n_best["n"]) if n_best is not None else 0     # one scalar; nothing scored: no neighbours, no rows
     nb = materialize(neighbours.top_neighbours(similarity(ratings, "overlap"), n, THRESHOLD))
     preds = predict.exclude_rated(predict.predict_from_neighbours(nb, ratings), ratings)
     return predict.top_n(preds, TOP)
@@ -363,6 +405,17 @@ def q_rmse_by_fraction(spark, d):
     return evaluate.rmse_by_fraction(_nbcf_rows(train, test))
 
 
+@register("rmse_by_fraction_models")
+def q_rmse_by_fraction_models(spark, d):
+    """Both models on the same growing samples (E8); the factor model's errors
+    have no SQL equivalent."""
+    train, test = events_split(spark, d)
+    fm = factors.fit(train, ALS_RANK, ALS_REG, ALS_ITER, SEED)
+    rows = {"nbcf": _nbcf_rows(train, test), "als": factors.evaluate(fm, test)}
+    both = [evaluate.rmse_by_fraction(r).select(F.lit(m).alias("model"), "*") for m, r in rows.items()]
+    return both[0].unionByName(both[1])
+
+
 @register("recommend_nbcf")
 def q_recommend_nbcf(spark, d):
     train = events_split(spark, d)[0]
@@ -412,6 +465,27 @@ def q_als_evaluate(spark, d):
     return factors.evaluate_summary(factors.evaluate(fm, test), "als")
 
 
+@register("als_cells")
+def q_als_cells(spark, d):
+    """What a factor model's evaluation must hold whatever its factors: cells,
+    cells it can score, predictions outside the rating range."""
+    train, test, fm = _als(spark, d)
+    rows = factors.evaluate(fm, test)
+    return rows.agg(F.count(F.lit(1)).alias("n_cells"),
+                    F.sum(F.col("scored").cast("int")).cast("bigint").alias("hits"),
+                    F.sum((~F.col(PRED).between(CLIP_LOW, CLIP_HIGH)).cast("int")).cast("bigint").alias("out_of_range"))
+
+
+@register("als_recommend_counts")
+def q_als_recommend_counts(spark, d):
+    """Per user how many items are recommended, and how many of them they had rated."""
+    train, _, fm = _als(spark, d)
+    recs = factors.recommend(fm, train, N_RECOMMEND)
+    rated = train.select(USER, ITEM, F.lit(1).alias("_rated"))
+    return (recs.join(rated, [USER, ITEM], "left").groupBy(USER)
+            .agg(F.count(F.lit(1)).alias("n_items"), F.sum(F.coalesce("_rated", F.lit(0))).cast("bigint").alias("n_rated_items")))
+
+
 @register("model_comparison")
 def q_model_comparison(spark, d):
     train, test, fm = _als(spark, d)

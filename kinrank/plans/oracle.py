@@ -11,8 +11,7 @@ engine-dependent order are rounded to 6 digits; ties break by id.
 
 from __future__ import annotations
 
-from kinrank.constants import (BIASED_MAX_ITEMS, CLIP_HIGH, CLIP_LOW, CONSTANT_REPORT_ROWS,
-                               DEMO_SCORED, DEMO_THRESHOLD, FRACTIONS, HISTORY_SAMPLE, K_RATERS,
+from kinrank.constants import (BIASED_MAX_ITEMS, CLIP_HIGH, CLIP_LOW, DEMO_THRESHOLD, FRACTIONS, K_RATERS,
                                KNN_EPSILON, N_NEIGHBOURS, N_RECOMMEND, PEARSON_MIN_COMMON,
                                PEARSON_MIN_STD, SAMPLE_ITEM_MULT, SAMPLE_USER_MULT, SPLIT_BUCKETS,
                                SPLIT_ITEM_MULT, SPLIT_TRAIN_BUCKETS, SPLIT_USER_MULT, SWEEP,
@@ -34,7 +33,13 @@ R_EVENTS = """ratings AS (
   WHERE item_id IS NOT NULL AND r IS NOT NULL AND user_id IS NOT NULL
   GROUP BY user_id, item_id)"""
 
-_CELL = f"(user_id * {SPLIT_USER_MULT} + item_id * {SPLIT_ITEM_MULT}) % {SPLIT_BUCKETS}"
+R_BASKETS = """ratings AS (
+  SELECT l_orderkey AS user_id, l_partkey AS item_id,
+         CAST(MAX(CAST(1 + floor((l_quantity - 1) / 10) AS BIGINT)) AS DOUBLE) AS rating
+  FROM lineitem GROUP BY l_orderkey, l_partkey)"""
+
+_CELL = (f"((user_id % {SPLIT_BUCKETS}) * {SPLIT_USER_MULT} + (item_id % {SPLIT_BUCKETS}) * {SPLIT_ITEM_MULT})"
+         f" % {SPLIT_BUCKETS}")
 SPLIT = f"""train AS (SELECT * FROM ratings WHERE {_CELL} < {SPLIT_TRAIN_BUCKETS}),
 test AS (SELECT * FROM ratings WHERE {_CELL} >= {SPLIT_TRAIN_BUCKETS})"""
 
@@ -154,7 +159,8 @@ EVT = W + R_EVENTS + ",\n" + SPLIT
 
 def _profiles(ent, oth, n_oth):
     counts = ",\n  ".join(
-        f"CAST(SUM(CASE WHEN rating = {v} THEN 1 ELSE 0 END) AS BIGINT) AS n_rated_{v}" for v in range(1, 6))
+        f"CAST(SUM(CASE WHEN least(5, greatest(0, floor(rating))) = {v} THEN 1 ELSE 0 END) AS BIGINT) AS n_rated_{v}"
+        for v in range(6))
     return f"""{ORD}
 SELECT {ent}, COUNT(*) AS n_ratings, COUNT(DISTINCT {oth}) AS {n_oth}, AVG(rating) AS mean_rating,
   round(stddev_samp(rating), 6) AS std_rating, MIN(rating) AS min_rating, MAX(rating) AS max_rating,
@@ -311,8 +317,7 @@ SELECT COUNT(*) AS total_users,
 FROM s""",
     "constant_rater_values": f"""{W}{R_ORDERS},
 {CONST}
-SELECT * FROM (SELECT DISTINCT r.user_id, c.rating_count, r.rating FROM ratings r JOIN c ON c.user_id = r.user_id) x
-ORDER BY user_id, rating LIMIT {CONSTANT_REPORT_ROWS}""",
+SELECT DISTINCT r.user_id, c.rating_count, r.rating FROM ratings r JOIN c ON c.user_id = r.user_id""",
     "ratings_without_constant": f"""{W}{R_ORDERS},
 {CONST}
 SELECT user_id, item_id, rating FROM ratings WHERE user_id NOT IN (SELECT user_id FROM c)""",
@@ -377,9 +382,7 @@ SELECT user_id, item_id, n_neighbours FROM {unrated('u', 'train')} z""",
 h AS (SELECT user_id, item_id, rating FROM test
       UNION ALL SELECT user_id, item_id, rating FROM train WHERE user_id NOT IN (SELECT user_id FROM test)),
 hc AS (SELECT user_id, COUNT(*) AS n_rated FROM h GROUP BY user_id)
-SELECT x.user_id, hc.n_rated, x.item_id, x.rating, CAST(x.rk AS INTEGER) AS sample_rank FROM (
-  SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY item_id) AS rk FROM h) x
-JOIN hc ON hc.user_id = x.user_id WHERE x.rk <= {HISTORY_SAMPLE}""",
+SELECT h.user_id, hc.n_rated, h.item_id, h.rating FROM h JOIN hc ON hc.user_id = h.user_id""",
     "predict_uncentered": f"""{OV_NB}
 SELECT nb.user_id, t.item_id, round(SUM(nb.similarity * t.rating) / SUM(nb.similarity), 6) AS predicted_rating
 FROM nb JOIN train t ON t.user_id = nb.neighbour_id
@@ -389,10 +392,9 @@ GROUP BY nb.user_id, t.item_id HAVING SUM(nb.similarity) <> 0""",
 {overlap()},
 {neighbours(t=DEMO_THRESHOLD)},
 {predict(item_filter='WHERE c.item_id IN (SELECT item_id FROM test)')},
-best AS ({top('pred', DEMO_SCORED)}),
 hist AS (SELECT user_id, item_id FROM test
          UNION ALL SELECT user_id, item_id FROM train WHERE user_id NOT IN (SELECT user_id FROM test)),
-kept AS (SELECT user_id, item_id, predicted_rating FROM {unrated('best', 'hist')} z)
+kept AS (SELECT user_id, item_id, predicted_rating FROM {unrated('pred', 'hist')} z)
 {top('kept', TOP)}""",
     "recommend_single_user": f"""{ORD},
 {VALID},
@@ -442,12 +444,33 @@ SELECT COUNT(*) AS n_cells,
 SELECT f.fraction, COUNT(*) AS n_cells,
   round(sqrt(avg((predicted_rating - rating) * (predicted_rating - rating))), 6) AS rmse
 FROM kp JOIN (VALUES {", ".join(f"({f})" for f in FRACTIONS)}) f(fraction)
-  ON (kp.user_id * {SAMPLE_USER_MULT} + kp.item_id * {SAMPLE_ITEM_MULT}) % 100 < f.fraction
+  ON ((kp.user_id % 100) * {SAMPLE_USER_MULT} + (kp.item_id % 100) * {SAMPLE_ITEM_MULT}) % 100 < f.fraction
 GROUP BY f.fraction""",
     "recommend_nbcf": _knn_catalogue("user_id", "item_id"),
     "recommend_users_for_item": _knn_catalogue("item_id", "user_id"),
 }
 
 
+for _k in ("constant_raters", "constant_rater_summary", "constant_rater_values", "ratings_without_constant", "biased_raters",
+           "biased_rater_summary"):
+    SQL[f"{_k}_baskets"] = SQL[_k].replace(R_ORDERS, R_BASKETS)
+
+SQL["similarity_corated_baskets"] = f"""{W}{R_BASKETS},
+{CONST},
+valid AS (SELECT item_id AS user_id, user_id AS item_id, rating FROM ratings WHERE user_id NOT IN (SELECT user_id FROM c)),
+{corated()}
+SELECT user_id AS item_id, neighbour_id, n_common, similarity FROM sims"""
+
+SQL["als_cells"] = f"""{ORD}
+SELECT COUNT(*) AS n_cells,
+  CAST(SUM(CASE WHEN user_id IN (SELECT user_id FROM train) AND item_id IN (SELECT item_id FROM train) THEN 1 ELSE 0 END) AS BIGINT) AS hits,
+  CAST(0 AS BIGINT) AS out_of_range
+FROM test"""
+
+SQL["als_recommend_counts"] = f"""{ORD}
+SELECT user_id, least({N_RECOMMEND}, (SELECT COUNT(DISTINCT item_id) FROM train) - COUNT(*)) AS n_items, CAST(0 AS BIGINT) AS n_rated_items
+FROM train GROUP BY user_id HAVING (SELECT COUNT(DISTINCT item_id) FROM train) > COUNT(*)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)

@@ -1,7 +1,6 @@
 """Canonical column names and schemas."""
 
-from pyspark.sql.types import (DoubleType, FloatType, IntegerType, LongType, StructField,
-                               StructType)
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 USER = "user_id"
 ITEM = "item_id"
@@ -17,13 +16,16 @@ RATINGS_SCHEMA = StructType([
     StructField(RATING, DoubleType(), True),
 ])
 
-# Header CSV with an index column, as a ratings export usually comes.
-RATINGS_CSV_SCHEMA = StructType([
-    StructField("index", IntegerType(), True),
-    StructField("user", IntegerType(), True),
-    StructField("item", IntegerType(), True),
-    StructField("rating", FloatType(), True),
-])
+def ratings_csv_schema(user: str = "user", item: str = "item", rating: str = "rating") -> StructType:
+    """Header CSV with an index column, as a ratings export usually comes.
+    Fixed values: the layout and the default names of that file."""
+    return StructType([
+        StructField("index", LongType(), True),
+        StructField(user, LongType(), True),
+        StructField(item, LongType(), True),
+        StructField(rating, DoubleType(), True),
+    ])
+
 
 # Headerless tab-separated ratings with a unix timestamp (S3).
 RATINGS_TSV_SCHEMA = StructType([

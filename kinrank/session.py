@@ -8,9 +8,9 @@ checkpoint folder.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings every plan in the package assumes: adaptive execution (runtime
@@ -40,43 +40,58 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder.
-
-    A cluster names a shared folder in ``spark.checkpoint.dir``; that one is
-    always used. Only a local session (tests, local runs) without one gets a
-    scratch folder; a cluster session without one is an error.
-    """
+def named_folder(spark: SparkSession) -> str | None:
+    """The shared folder that the session names for checkpoints, if any."""
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - a remote (Connect) session: the server owns the setting
-        return spark.conf.get("spark.checkpoint.dir", "")
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if not conf_dir:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
-                               "(a machine-local folder cannot hold checkpoints)")
-        conf_dir = tempfile.mkdtemp(prefix="kinrank-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(conf_dir)
-    return sc.getCheckpointDir() or conf_dir
+        return spark.conf.get("spark.checkpoint.dir", "") or None
+    if not sc.getCheckpointDir():
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder:
+            sc.setCheckpointDir(folder)
+    return sc.getCheckpointDir() or None
+
+
+def _must_be_local(spark: SparkSession) -> None:
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
+                           "(a machine-local folder cannot hold checkpoints)")
+
+
+_scratch: dict[str, str] = {}
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """A folder for tables that an operator writes and reads again: the one
+    that the session names. Only a local session that names none gets a
+    scratch folder (one for each application); a cluster session is refused."""
+    folder = named_folder(spark)
+    if folder:
+        return folder
+    _must_be_local(spark)
+    app = spark.sparkContext.applicationId
+    if app not in _scratch:
+        _scratch[app] = tempfile.mkdtemp(prefix="kinrank-")
+    return _scratch[app]
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared checkpoint folder.
+    """Keep one intermediate result that several branches read.
 
-    Used where one intermediate result feeds several expensive branches
-    (for instance the similarity table of a sweep). A reliable checkpoint
-    survives the loss of the executors that computed it.
+    Where the session names a shared folder this is a reliable checkpoint,
+    which survives the loss of the executors that computed it. A local session
+    without one keeps the rows in Spark's own storage and writes no files of
+    ours; a cluster session without one is refused.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    if named_folder(spark):
+        return df.checkpoint(eager=True)
+    _must_be_local(spark)
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def parallelism(spark: SparkSession) -> int:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinrank.schema import ITEM, RATING, RATINGS_CSV_SCHEMA, RATINGS_TSV_SCHEMA, USER
+from kinrank.schema import ITEM, RATING, RATINGS_TSV_SCHEMA, USER, ratings_csv_schema
 
 
 def canonical(df: DataFrame, user: str = USER, item: str = ITEM, rating: str = RATING) -> DataFrame:
@@ -21,17 +21,19 @@ def canonical(df: DataFrame, user: str = USER, item: str = ITEM, rating: str = R
 
 def read_ratings_csv(spark: SparkSession, path: str, infer_schema: bool = False,
                      user: str = "user", item: str = "item", rating: str = "rating") -> DataFrame:
-    """Ratings CSV with a header (S1). The fixed schema is the default;
-    ``infer_schema=True`` (S2) costs an extra pass over the file."""
-    reader = spark.read.option("header", True)
-    reader = reader.option("inferSchema", True) if infer_schema else reader.schema(RATINGS_CSV_SCHEMA)
+    """Ratings CSV with a header (S1): index, then the named columns, as 64-bit
+    ids and double ratings. A row that does not parse fails the read rather
+    than becoming a null user. ``infer_schema=True`` (S2) costs an extra pass
+    over the file and finds the columns by name anywhere."""
+    reader = spark.read.option("header", True).option("mode", "FAILFAST")
+    reader = reader.option("inferSchema", True) if infer_schema else reader.schema(ratings_csv_schema(user, item, rating))
     return canonical(reader.csv(path), user, item, rating)
 
 
 def read_ratings_tsv(spark: SparkSession, path: str) -> DataFrame:
     """Headerless tab-separated ``user, item, rating, unix_timestamp`` (S3);
     the timestamp is dropped."""
-    df = spark.read.option("sep", "\t").option("header", False).schema(RATINGS_TSV_SCHEMA).csv(path)
+    df = spark.read.option("sep", "\t").option("header", False).option("mode", "FAILFAST").schema(RATINGS_TSV_SCHEMA).csv(path)
     return canonical(df)
 
 
@@ -60,6 +62,15 @@ def ratings_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return utility_matrix(purchase_events(spark, sf_dir), policy="max").select(USER, ITEM, RATING)
 
 
+def ratings_from_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Baskets form: an order's rating of a part is the highest quantity rating
+    over its lines of that part. Orders are short, so many rate constantly."""
+    li = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+    lines = li.select(F.col("l_orderkey").alias(USER), F.col("l_partkey").alias(ITEM),
+                      quantity_rating().cast("double").alias(RATING))
+    return utility_matrix(lines, policy="max").select(USER, ITEM, RATING)
+
+
 def ratings_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events form: ``item_id = props.k``, rating ``min(5, 1 + floor(value/10))``,
     highest per (user, item)."""

@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -19,8 +18,6 @@ def spark():
          .config("spark.driver.memory", "8g")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
-    if not s.sparkContext.getCheckpointDir():          # tests only: no cluster folder is named
-        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="kinrank-test-ckpt-"))
     yield s
     s.stop()
 

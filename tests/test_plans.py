@@ -3,23 +3,40 @@
 import pytest
 
 import __spark_entry__ as E
+from kinrank import session
 
 SF = "/root/testdata/sf0.001"
-# Spark ML's ALS scores users against item-factor blocks internally.
-ALS_KEYS = {"als_predict", "als_loss", "als_loss_trace", "als_recommend", "als_evaluate",
-            "model_comparison"}
+# Spark ML's recommendation crosses user blocks with item blocks internally.
+ALS_RECOMMEND = {"als_recommend", "als_recommend_counts"}
+CORE = sorted(k for k in E.queries() if not k.startswith("op") and k != "pipeline")
+
+
+@pytest.fixture(autouse=True)
+def no_folder(monkeypatch):
+    monkeypatch.setattr(session, "named_folder", lambda spark: None)
 
 
 def _plan(df):
+    """The plan with those of all frames that it reads from Spark's storage:
+    without a checkpoint folder nothing has been cut off it."""
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("key", sorted(set(E.queries()) - ALS_KEYS))
+@pytest.mark.parametrize("key", sorted(set(CORE) - ALS_RECOMMEND))
 def test_no_cartesian_products(spark, key):
     plan = _plan(E.queries()[key](spark, SF))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, key
 
 
+def test_the_check_sees_what_was_kept(spark):
+    """The neighbour table is kept before it is returned; its pair join and the
+    source scan still show."""
+    plan = _plan(E.queries()["top_neighbours"](spark, SF))
+    assert "InMemoryRelation" in plan and plan.count("Join") >= 2 and "lineitem.parquet" in plan
+    crossed = spark.range(3).crossJoin(spark.range(2).toDF("b")).persist()
+    assert any(x in _plan(crossed.select("id")) for x in ("CartesianProduct", "BroadcastNestedLoopJoin"))
+
+
 @pytest.mark.parametrize("key", ["recommend_top_n", "predict_nbcf", "rmse_by_n"])
 def test_top_k_is_a_group_limit(spark, key):
     assert "WindowGroupLimit" in _plan(E.queries()[key](spark, SF))
@@ -35,9 +52,8 @@ def test_neighbour_ranking_is_a_group_limit(spark):
 
 def test_scans_read_only_needed_columns(spark):
     plan = _plan(E.queries()["ratings_load"](spark, SF))
-    # the ratings are written once; the plan that wrote them is the source scan
-    from kinrank.sources.ratings import ratings_from_orders
-    src = ratings_from_orders(spark, SF)
-    text = src._jdf.queryExecution().executedPlan().toString()
-    assert "l_extendedprice" not in text and "o_totalprice" not in text
-    assert plan
+    scans = [x for x in plan.splitlines() if "ReadSchema" in x]
+    orders = [x for x in scans if "orders.parquet" in x]
+    assert scans and orders
+    assert {x.split("ReadSchema: ")[1] for x in orders} == {"struct<o_orderkey:bigint,o_custkey:bigint>"}
+    assert "l_extendedprice" not in plan
