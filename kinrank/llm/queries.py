@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from kinrank.llm import (decontaminate, html_extract, minhash, packing, sharding, simhash, substring_dedup, suffix_dedup, token_store,
-                         toxicity)
+from kinrank.llm import (decontaminate, html_extract, minhash, oracle, packing, sharding, simhash, substring_dedup,
+                         suffix_dedup, token_store, toxicity)
 
 
 def queries():
@@ -22,4 +22,4 @@ def queries():
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracle.oracle_sql()
