@@ -1,8 +1,9 @@
 """Operator 9, toxicity: subword-bag embeddings averaged into a linear softmax.
 
 A word is the mean of the vectors of its character n-grams (hashed into
-BUCKETS), a document the mean of its words, and a linear softmax reads the
-label off that mean. Vectors and softmax are trained together, by gradients
+BUCKETS), a document the mean of its words (one that occurs c times counting
+1 + log c, so a repeated line says little more than the line), and a linear
+softmax reads the label off that mean. Vectors and softmax are trained together, by gradients
 through both means, in numpy. A misspelling nobody has seen shares most of its
 n-grams, and so most of its vector, with the word it stands for.
 
@@ -15,6 +16,8 @@ and scoring a document is averaging its words' numbers.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
+from math import log
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +35,7 @@ MIN_DOCS = 8                          # documents a word must be in to teach any
 DECAY = 1e-5
 RATE = 0.08
 STRETCH = 30.0                        # a few words decide, so means are small
+BLANK_WORDS = 50                      # words without a vector that every document has besides, so few words prove little
 THRESHOLD = 0.3
 FOLDS, HELD_OUT = 4, 2
 KNOWN = 400_000                       # words whose score a worker keeps
@@ -71,17 +75,18 @@ class Model:
         """Probability of label 1 for each text; ``known`` caches words."""
         out = []
         for t in texts:
-            w = words_of(t)
-            total = 0.0
-            for x in w:
+            total, size = 0.0, BLANK_WORDS
+            for x, c in Counter(words_of(t)).items():
                 v = known.get(x)
                 if v is None:
                     v = self.word(x)
                     if len(known) >= KNOWN:
                         known.clear()
                     known[x] = v
-                total += v
-            z = self.bias + (total / len(w) if w else 0.0)
+                share = 1.0 + log(c) if c > 1 else 1.0
+                total += share * v
+                size += share
+            z = self.bias + total / size
             out.append(1.0 / (1.0 + np.exp(-max(-60.0, min(60.0, z)))))
         return out
 
@@ -96,9 +101,7 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Model:
     seen: dict[str, int] = {}
     bags = []
     for t in texts:
-        bag: dict[str, int] = {}
-        for w in words_of(t):
-            bag[w] = bag.get(w, 0) + 1
+        bag = {w: 1.0 + log(c) for w, c in Counter(words_of(t)).items()}
         bags.append(bag)
         for w in bag:
             seen[w] = seen.get(w, 0) + 1
@@ -110,7 +113,7 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Model:
     by_gram = np.argsort(where, kind="stable")
     doc, term, part = [], [], []
     for i, bag in enumerate(bags):
-        n = sum(bag.values())
+        n = sum(bag.values()) + BLANK_WORDS
         for w, c in bag.items():
             if w in vocab:
                 doc.append(i), term.append(vocab[w]), part.append(STRETCH * c / n)
