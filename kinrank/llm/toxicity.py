@@ -98,26 +98,26 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Model:
     ones = (y.sum() + 0.5) / (len(y) + 1.0)
     if not len(y) or y.min() == y.max():
         return Model(np.zeros(BUCKETS, np.float32), float(np.log(ones / (1 - ones))))
-    seen: dict[str, int] = {}
-    bags = []
+    number: dict[str, int] = {}
+    bags, weights = [], []
     for t in texts:
-        bag = {w: 1.0 + log(c) for w, c in Counter(words_of(t)).items()}
-        bags.append(bag)
-        for w in bag:
-            seen[w] = seen.get(w, 0) + 1
-    vocab = {w: i for i, w in enumerate(sorted(w for w, n in seen.items() if n > 1))}     # others teach nothing
+        bag = Counter(words_of(t))
+        bags.append(np.fromiter((number.setdefault(w, len(number)) for w in bag), np.int32, len(bag)))
+        weights.append(1 + np.log(np.fromiter(bag.values(), np.float32, len(bag))))
+    length = [len(b) for b in bags]
+    size = np.array([w.sum() for w in weights], np.float32) + BLANK_WORDS
+    doc, term, part = np.repeat(np.arange(len(bags), dtype=np.int32), length), np.concatenate(bags), np.concatenate(weights)
+    part = STRETCH * part / size[doc]
+    keep = np.bincount(term, minlength=len(number)) >= MIN_DOCS
+    vocab = [w for w, i in number.items() if keep[i]]
+    del number, bags, weights
+    stay = keep[term]
+    doc, term, part = doc[stay], (np.cumsum(keep, dtype=np.int32) - 1)[term[stay]], part[stay][:, None]
     lists = [grams(w) for w in vocab]
     word = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
     gram, where = np.unique(np.array([g for x in lists for g in x], np.int64), return_inverse=True)
     share = (1.0 / np.bincount(word, minlength=len(lists)))[word].astype(np.float32)[:, None]
     by_gram = np.argsort(where, kind="stable")
-    doc, term, part = [], [], []
-    for i, bag in enumerate(bags):
-        n = sum(bag.values()) + BLANK_WORDS
-        for w, c in bag.items():
-            if w in vocab:
-                doc.append(i), term.append(vocab[w]), part.append(STRETCH * c / n)
-    doc, term, part = np.array(doc), np.array(term), np.array(part, np.float32)[:, None]
     by_term = np.argsort(term, kind="stable")
     r = np.random.default_rng(seed)
     params = [r.normal(0, 0.3 / DIMS, (len(gram), DIMS)).astype(np.float32), r.normal(0, 0.3, (DIMS, 2)).astype(np.float32),
