@@ -8,7 +8,7 @@ the whole tree: a leaf is kept only with all its ancestors, and the kept set is
 the one of greatest total log-odds, so no kept text lies under a dropped node.
 
 The trees are fitted here, on at most TRAIN_PAGES pages of the table (those
-whose page_id hashes lowest). Their own tags mark some parts as article or not;
+that hash lowest). Their own tags mark some parts as article or not;
 as one site's layout teaches little, each page's sentences are also laid out
 anew with other containers and other boilerplate, whose parts are known.
 """
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinrank.llm.common import arrow_sized, ship
+from kinrank.llm.common import arrow_sized, lowest, ship
 
 TRAIN_PAGES = 200
 LAYOUTS = 4                           # anew, for each of them
@@ -371,9 +371,9 @@ def train(sources: list[str], seed: int = 11) -> Boosted:
 
 
 def fit(pages: DataFrame, rows: int = TRAIN_PAGES) -> Boosted:
-    """Trees from at most ``rows`` pages, those whose page_id hashes lowest."""
-    picked = (pages.where(F.length("html") > 0).select("page_id", "html")
-              .orderBy(F.xxhash64("page_id"), F.xxhash64("html")).limit(rows).collect())
+    """Trees from at most ``rows`` pages, those that hash lowest."""
+    picked = lowest(pages.where(F.length("html") > 0).select("page_id", "html"), F.xxhash64("page_id", "html"), rows).collect()
+    picked.sort(key=lambda x: x["html"])
     return train([x["html"] for x in picked])
 
 

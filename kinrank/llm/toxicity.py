@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinrank.llm.common import arrow_sized, ship
+from kinrank.llm.common import arrow_sized, lowest, ship
 
 TRAIN_ROWS = 4000
 BUCKETS = 1 << 18
@@ -154,9 +154,9 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     """A model of at most ``rows`` labelled documents that aren't held out.
     Rows without a doc_id or with a label other than 0 and 1 teach nothing; of
     a doc_id labelled more than once the highest label counts."""
-    picked = (labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
-              .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
+    known = (labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
+             .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
+    picked = lowest(known, F.xxhash64("doc_id"), rows)
     found = (docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
              .select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "toxic").collect())
     found.sort(key=lambda r: (r["doc_id"], r["text"]))
