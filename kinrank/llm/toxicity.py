@@ -7,15 +7,16 @@ softmax reads the label off that mean. Vectors and softmax are trained together,
 through both means, in numpy. A misspelling nobody has seen shares most of its
 n-grams, and so most of its vector, with the word it stands for.
 
-The model is fitted on at most TRAIN_ROWS labelled documents (those whose
-doc_id hashes lowest, so the sample is the same whatever the partitioning),
-whole texts. As the softmax is linear, a fitted model is one number per n-gram,
+The model is fitted on every word of at most TRAIN_ROWS labelled documents
+(those whose doc_id hashes lowest, so the sample is the same whatever the
+partitioning), whole texts; how sure it may be is learned from rows left out. As the softmax is linear, a fitted model is one number per n-gram,
 and scoring a document is averaging its words' numbers.
 """
 
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections import Counter
 from math import log
 
@@ -31,7 +32,7 @@ BUCKETS = 1 << 18
 GRAMS = (3, 4, 5)
 DIMS = 8
 EPOCHS = 80
-MIN_DOCS = 8                          # documents a word must be in to teach anything
+PARTS = 3                             # parts of the rows that take turns to be left out, for the odds
 DECAY = 1e-5
 RATE = 0.08
 STRETCH = 30.0                        # a few words decide, so means are small
@@ -53,15 +54,6 @@ def words_of(text: str) -> list[str]:
     return text.lower().split()
 
 
-def _sums(rows: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
-    """Rows added up by ``at`` (0 to n - 1, ascending)."""
-    out = np.zeros((n, rows.shape[1]), rows.dtype)
-    if len(at):
-        first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-        out[at[first]] = np.add.reduceat(rows, first, axis=0)
-    return out
-
-
 class Model:
     """One number per n-gram bucket, and the softmax's offset."""
 
@@ -92,57 +84,105 @@ class Model:
 
 
 def train(texts: list[str], labels: list[int], seed: int = 7) -> Model:
-    """Fit on whole texts. Without rows of both labels the model knows only
-    the share of ones."""
+    """Fit on every word of whole texts. Without rows of both labels the model
+    knows only the share of ones.
+
+    Words met once let a model fit its own rows better than any others, so its
+    offset is set by rows that it has not seen: PARTS more fits leave out a part
+    of the rows each, and what they say of it must promise as many ones as it holds.
+    """
     y = np.array(labels, np.int64)
     ones = (y.sum() + 0.5) / (len(y) + 1.0)
     if not len(y) or y.min() == y.max():
         return Model(np.zeros(BUCKETS, np.float32), float(np.log(ones / (1 - ones))))
     number: dict[str, int] = {}
-    bags, weights = [], []
+    term, part, length = array("i"), array("f"), []
     for t in texts:
         bag = Counter(words_of(t))
-        bags.append(np.fromiter((number.setdefault(w, len(number)) for w in bag), np.int32, len(bag)))
-        weights.append(1 + np.log(np.fromiter(bag.values(), np.float32, len(bag))))
-    length = [len(b) for b in bags]
-    size = np.array([w.sum() for w in weights], np.float32) + BLANK_WORDS
-    doc, term, part = np.repeat(np.arange(len(bags), dtype=np.int32), length), np.concatenate(bags), np.concatenate(weights)
-    part = STRETCH * part / size[doc]
-    keep = np.bincount(term, minlength=len(number)) >= MIN_DOCS
-    vocab = [w for w, i in number.items() if keep[i]]
-    del number, bags, weights
-    stay = keep[term]
-    doc, term, part = doc[stay], (np.cumsum(keep, dtype=np.int32) - 1)[term[stay]], part[stay][:, None]
-    lists = [grams(w) for w in vocab]
-    word = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-    gram, where = np.unique(np.array([g for x in lists for g in x], np.int64), return_inverse=True)
-    share = (1.0 / np.bincount(word, minlength=len(lists)))[word].astype(np.float32)[:, None]
-    by_gram = np.argsort(where, kind="stable")
-    by_term = np.argsort(term, kind="stable")
+        term.extend(number.setdefault(w, len(number)) for w in bag)
+        part.extend(bag.values())
+        length.append(len(bag))
+    doc, term = np.repeat(np.arange(len(texts), dtype=np.int32), length), np.frombuffer(term, np.int32)
+    part = 1 + np.log(np.frombuffer(part, np.float32))
+    part = (STRETCH * part / (np.bincount(doc, part, len(y)) + BLANK_WORDS)[doc]).astype(np.float32)
+    gram, many = array("i"), array("i")
+    for w in number:
+        own = grams(w)
+        gram.extend(own)
+        many.append(len(own))
+    gram, many = np.frombuffer(gram, np.int32), np.frombuffer(many, np.int32)
+    bags = doc, term, part, gram, many
+    side = np.array([zlib.crc32(t.encode()) % PARTS for t in texts])      # copies of a text go together
+    z, shift = np.zeros(len(y)), 0.0
+    for k in range(PARTS):
+        if not (side == k).any():
+            continue
+        if len(set(y[side != k].tolist())) < 2:
+            break
+        weight, bias = _fit(*bags, y, side != k, seed)
+        words = _word_means(weight, gram, many)
+        z[side == k] = (np.bincount(doc, words[term] * part, len(y)) / STRETCH + bias)[side == k]
+    else:
+        shift = _offset(z, y)
+    weight, bias = _fit(*bags, y, np.ones(len(y), bool), seed)
+    return Model(weight, bias + shift)
+
+
+def _word_means(weight: np.ndarray, gram: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """Means of the weights of each word's n-grams."""
+    return np.bincount(np.repeat(np.arange(len(many), dtype=np.int32), many), weight[gram], len(many)) / many
+
+
+def _fit(doc, term, part, gram, many, y, use, seed) -> tuple[np.ndarray, float]:
+    """Weights of the buckets and the offset, learned from the rows in ``use``.
+
+    With two labels the softmax reads off one direction of the vectors, so all
+    gradients are multiples of it: means are taken of numbers, not of vectors.
+    """
+    stay = use[doc]
+    doc, term, part, rows = doc[stay], term[stay], part[stay], int(use.sum())
+    met = np.bincount(term, minlength=len(many)) > 0
+    word = np.repeat(np.arange(len(many), dtype=np.int32), many)
+    stay = met[word]
+    word, gram = word[stay], gram[stay]
+    seen = np.bincount(gram, minlength=BUCKETS) > 0
+    where = (np.cumsum(seen, dtype=np.int32) - 1)[gram]
+    del stay, gram
+    ones = (y[use].sum() + 0.5) / (rows + 1.0)
     r = np.random.default_rng(seed)
-    params = [r.normal(0, 0.3 / DIMS, (len(gram), DIMS)).astype(np.float32), r.normal(0, 0.3, (DIMS, 2)).astype(np.float32),
+    params = [r.normal(0, 0.3 / DIMS, (int(seen.sum()), DIMS)).astype(np.float32), r.normal(0, 0.3, (DIMS, 2)).astype(np.float32),
               np.log(np.array([1 - ones, ones], np.float32))]
     m, v = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
-    target = np.eye(2, dtype=np.float32)[y]
     for step in range(1, EPOCHS + 1):
         e, out, bias = params
-        words = _sums(e[where] * share, word, len(lists))
-        docs = _sums(words[term] * part, doc, len(y))
-        z = docs @ out + bias
-        p = np.exp(z - z.max(1, keepdims=True))
-        p /= p.sum(1, keepdims=True)
-        dz = (p - target) / len(y)
-        d_docs = dz @ out.T
-        d_words = _sums((d_docs[doc] * part)[by_term], term[by_term], len(lists))
-        d_e = _sums((d_words[word] * share)[by_gram], where[by_gram], len(gram))
-        for i, g in enumerate((d_e + DECAY * e, docs.T @ dz + 1e-4 * out, dz.sum(0))):
+        way = out[:, 1] - out[:, 0]
+        words = np.bincount(word, np.einsum("ij,j->i", e, way)[where], len(many)) / many
+        z = np.bincount(doc, words[term] * part, len(y)) + bias[1] - bias[0]
+        dz = np.where(use, (1 / (1 + np.exp(-np.clip(z, -60, 60))) - y) / rows, 0.0)
+        d_words = np.bincount(term, dz[doc] * part, len(many)) / many
+        d_e = np.bincount(where, d_words[word], len(e)).astype(np.float32)
+        d_out = np.einsum("ij,i->j", e, d_e)
+        for i, g in enumerate((d_e[:, None] * way + DECAY * e, np.stack([-d_out, d_out], 1) + 1e-4 * out,
+                               np.array([-dz.sum(), dz.sum()], np.float32))):
             m[i] = 0.9 * m[i] + 0.1 * g
             v[i] = 0.99 * v[i] + 0.01 * g * g
             params[i] = params[i] - RATE * (m[i] / (1 - 0.9 ** step)) / (np.sqrt(v[i] / (1 - 0.99 ** step)) + 1e-8)
     e, out, bias = params
     weight = np.zeros(BUCKETS, np.float32)
-    weight[gram] = STRETCH * (e @ (out[:, 1] - out[:, 0]))
-    return Model(weight, float(bias[1] - bias[0]))
+    weight[seen] = STRETCH * (e @ (out[:, 1] - out[:, 0]))
+    return weight, float(bias[1] - bias[0])
+
+
+def _offset(z: np.ndarray, y: np.ndarray) -> float:
+    """What to add to the log odds ``z`` so that they promise as many ones as there are."""
+    low, high = -60.0, 60.0
+    for _ in range(60):
+        mid = (low + high) / 2
+        if (1 / (1 + np.exp(-np.clip(z + mid, -60, 60)))).sum() < y.sum():
+            low = mid
+        else:
+            high = mid
+    return (low + high) / 2
 
 
 def held_out(doc_id: Column) -> Column:

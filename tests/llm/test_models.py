@@ -150,6 +150,22 @@ def test_toxicity_on_held_out_rows(spark):
     assert all(r.predicted == (r.score >= 0.3) for r in rows)
 
 
+def test_toxicity_learns_from_few_rows(spark):
+    sf = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{sf}/labels.parquet").where("toxic is not null")
+    rows = toxicity.op9(spark, sf).join(labels, "doc_id").collect()
+    held = [r for r in rows if r.held_out]
+    assert np.mean([r.predicted for r in held if r.toxic]) > 0.5
+    assert np.mean([r.predicted for r in held if not r.toxic]) < 0.25
+    assert np.mean([r.predicted for r in rows if r.toxic and not r.held_out]) > 0.95
+
+
+def test_a_word_of_one_document_teaches():
+    texts = [f"plain{i} talk" for i in range(9)] + ["you dimwit"]
+    model = toxicity.train(texts, [0] * 9 + [1])
+    assert model.word("dimwit") > max(model.word(f"plain{i}") for i in range(9))
+
+
 def test_toxicity_of_awkward_tables(spark):
     docs = spark.createDataFrame([(None, "x"), (1, None), (1, "you moron"), (2, "hello")] + [(i, f"nice {i % 9} day" if i % 2 else "you m0ron fool")
                                  for i in range(10, 60)], "doc_id long, text string")
