@@ -108,7 +108,7 @@ def repeated_windows(docs: DataFrame, find_sites, window_hashes, keep_first: boo
     is_first = F.coalesce(F.lag("ctx").over(by_core) != F.col("ctx"), F.lit(True))
     several = F.first("ctx").over(by_core.rowsBetween(*FULL)) != F.last("ctx").over(by_core.rowsBetween(*FULL))
     if keep_first:
-        twice = ~is_first
+        twice = F.dense_rank().over(by_ctx) > 1      # places, not rows: a row listed twice is one place
     else:
         full = by_ctx.rowsBetween(*FULL)
         twice = (F.first("k").over(full) != F.last("k").over(full)) | (F.first("lo").over(full) != F.last("lo").over(full))
@@ -136,11 +136,7 @@ def repeated_windows(docs: DataFrame, find_sites, window_hashes, keep_first: boo
 
     one = unpacked(docs.join(per_doc.where(F.size("open") > 0).select("_k", "open").hint("shuffle_hash"), "_k")
                    .mapInArrow(windows, SITES))
-    if keep_first:
-        again = F.row_number().over(by_ctx) > 1
-    else:
-        again = twice
-    more = (one.withColumn("_again", again).where("settled or _again")
+    more = (one.withColumn("_again", twice).where("settled or _again")
             .groupBy(F.col("k").alias("_k")).agg(F.collect_list(span).alias("more")))
     none = F.array().cast("array<struct<lo:int,hi:int>>")
     return (per_doc.select("_k", "done").join(more, "_k", "full_outer")

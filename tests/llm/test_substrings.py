@@ -102,6 +102,18 @@ def test_null_and_repeated_ids_and_empty_table(spark):
     assert lost[(None, long)] and not lost[(None, "other")]
 
 
+def test_a_row_repeated_over_batches_keeps_its_text(spark, monkeypatch):
+    sized = suffix_dedup.arrow_sized
+    monkeypatch.setattr(suffix_dedup, "arrow_sized", lambda df: sized(df, 1))
+    long = " ".join(f"w{i}" for i in range(120))
+    part = "before it " + long[50:400] + " and an end"
+    rows = [(3, long), (5, part), (3, long), (7, long), (3, long), (5, part), (7, long), (3, long)]
+    df = spark.createDataFrame(spark.sparkContext.parallelize(rows, len(rows)), "doc_id long, text string")
+    out = suffix_dedup.remove_repeated_strings(df).collect()
+    assert sorted((r.doc_id, bytes(r.kept).decode()) for r in out) == sorted(
+        [(3, long)] * 4 + [(5, "before it and an end")] * 2 + [(7, "")] * 2)
+
+
 def test_the_cover_is_a_perfect_difference_set():
     d = {(a - b) % substring_dedup.PERIOD for a in substring_dedup.COVER for b in substring_dedup.COVER}
     assert d == set(range(substring_dedup.PERIOD))
