@@ -1,21 +1,20 @@
-"""Operator 1, suffix-array dedup by prefix-free parsing.
+"""Operator 1, repeated strings by anchored window fingerprints.
 
-Parse: a rolling hash runs over the bytes of each document; where it is no
+In place of suffix arrays by prefix-free parsing: there is no dictionary of
+distinct phrases, no suffix array of dictionary or parse, and no corpus order.
+Only the parse's triggers are kept, as anchors.
+
+Anchors: a rolling hash runs over the bytes of each document; where it is no
 larger than at any place within RADIUS bytes to either side, the string of
-``2 * RADIUS + TAIL`` bytes around that place is a trigger. Phrases run from
-one trigger to the end of the next, so which phrases a text has depends on its
-own bytes alone, and no phrase suffix that ends in a trigger is a proper prefix
-of another.
-
-Corpus order: a suffix of the corpus sorts by the phrase suffix it starts in
-(dictionary) and then by the phrases that follow (parse). Here the parse is
-sorted by (trigger, context to the window's length), which puts equal phrase
-occurrences next to each other, and only dictionary suffixes of phrases whose
-trigger is met in several contexts are sorted one by one. Removal needs equal
-neighbours and not the alphabet, so ranks are fingerprints (64 bits for a
-trigger, 128 for a context or a window) and both sorts are Spark's: windows
-over (trigger, context) and over suffixes. Stretches without a trigger for a
-whole window enter the dictionary window by window.
+``2 * RADIUS + TAIL`` bytes around that place is a trigger. Which triggers a
+text has depends on its own bytes alone, so equal windows hold equal triggers.
+
+Grouping (repeats.py, as for operator 10): equal fingerprints of a trigger and
+its context, to the window's length, are equal occurrences; only triggers met
+in several contexts have their windows looked at one by one. Removal needs
+equal neighbours and not the alphabet, so fingerprints do (64 bits for a
+trigger, 128 for a window). Stretches without a trigger for a whole window are
+taken window by window.
 
 Memory of a task is bounded by an Arrow batch; the whole text is shuffled once
 (both later uses share that exchange).
