@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from kinrank.plans import catalog, oracle
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["orders", "lineitem", "events"]
@@ -25,18 +26,18 @@ def _norm(rows):
     return sorted((tuple(v(x) for x in r) for r in rows), key=lambda r: tuple((x is None, str(x)) for x in r))
 
 
-@pytest.mark.parametrize("key", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("key", sorted(oracle.oracle_sql()))
 def test_matches_sql(spark, con, key):
-    df = E.queries()[key](spark, SF)
-    res = con.execute(E.oracle_sql()[key])
+    df = catalog.queries()[key](spark, SF)
+    res = con.execute(oracle.oracle_sql()[key])
     assert df.columns == [d[0] for d in res.description]
     assert _norm(df.collect()) == _norm(res.fetchall())
 
 
 def test_every_query_has_sql_or_is_iterative():
-    missing = set(E.queries()) - set(E.oracle_sql())
+    missing = set(catalog.queries()) - set(oracle.oracle_sql())
     assert missing == {"als_predict", "als_loss", "als_loss_trace", "als_recommend", "als_evaluate",
-                       "model_comparison"}
+                       "model_comparison", "rmse_by_fraction_models"}
 
 
 def test_entry_smoke(spark):
@@ -53,6 +54,6 @@ def test_entry_smoke(spark):
     ("model_comparison", ["model", "n_cells", "hits", "rmse"]),
 ])
 def test_iterative_queries_run(spark, key, cols):
-    df = E.queries()[key](spark, SF)
+    df = catalog.queries()[key](spark, SF)
     assert df.columns == cols
     assert df.count() > 0
