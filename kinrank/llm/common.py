@@ -13,6 +13,7 @@ from kinrank.session import materialize
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 BATCH_BYTES = 32 << 20                # bytes that an Arrow batch holds before it ends
+ROW_BATCH_BYTES = 8 << 20             # the same for operators that judge each row alone
 GROUP_BYTES = 1 << 21                 # bytes of text that a task's vector code works on at a time
 
 
@@ -29,11 +30,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def arrow_sized(df: DataFrame, rows: int = 2000) -> DataFrame:
+def arrow_sized(df: DataFrame, rows: int = 2000, size: int = BATCH_BYTES) -> DataFrame:
     """Set the rows per Arrow batch for frames that carry whole texts; a batch
-    also ends at BATCH_BYTES, so long texts do not pile up."""
+    also ends at ``size`` bytes, so long texts do not pile up."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
     return df
 
 
@@ -68,13 +69,22 @@ def keyed(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def lowest(df: DataFrame, key: Column, rows: int) -> DataFrame:
-    """The ``rows`` rows of smallest ``key``, a 64-bit hash. Of a large table
-    only about four times as many are looked at, those under the value that
-    hashes even out to, so what reaches the driver doesn't grow with the table."""
-    n = df.count()
-    if n > 8 * rows:
-        df = df.where(key < F.lit(int(-(1 << 63) + (4 * rows / n) * (1 << 64))))
-    return df.orderBy(key).limit(rows)
+    """One row for each of the ``rows`` smallest values of ``key``, a 64-bit hash.
+
+    Only the values under a bound are looked at, the one under which about four
+    times as many as asked for lie if none repeats. Where rows repeat and too
+    few values are found, the bound is raised, so the result is the same at any
+    size, and the driver gets ``rows`` numbers a step."""
+    share = 4 * rows / max(1, df.count())
+    while True:
+        under = df if share >= 1 else df.where(key < F.lit(int(-(1 << 63) + share * (1 << 64))))
+        found = under.select(key.alias("_h")).distinct().orderBy("_h").limit(rows).collect()
+        if share >= 1 or len(found) == rows:
+            break
+        share *= 16
+    if not found:
+        return df.limit(0)
+    return under.where(key <= F.lit(found[-1][0])).withColumn("_h", key).dropDuplicates(["_h"]).drop("_h")
 
 
 def values(array) -> tuple[np.ndarray, np.ndarray]:
@@ -112,5 +122,5 @@ def signed(x) -> np.ndarray:
     return np.asarray(x, dtype=np.uint64).view(np.int64)
 
 
-__all__ = ["GROUP_BYTES", "arrow_sized", "groups", "keyed", "keys_are_unique", "lowest", "materialize", "ranges", "ship", "signed",
+__all__ = ["GROUP_BYTES", "ROW_BATCH_BYTES", "arrow_sized", "groups", "keyed", "keys_are_unique", "lowest", "materialize", "ranges", "ship", "signed",
            "table", "text_bytes", "values"]

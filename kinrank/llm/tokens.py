@@ -9,28 +9,38 @@ numpy puts the ids together. Texts with white space beyond ASCII go through the
 library whole.
 
 A chunk of one blank, Latin-1 letters and perhaps ASCII punctuation, which is
-nearly every one, needs no search for its pieces (the word, with the blank
-where the vocabulary keeps it, and the punctuation): they go straight to the
-library's merge model.
+nearly every one, needs no search for its pieces: it is cut into the word (with
+the blank where the vocabulary keeps it) and the punctuation, and both go
+straight to the library's merge model.
+
+The tokenizer is used as loaded. A text with the string of one of its added
+tokens, in either case, goes through the library whole, too.
 """
 
 from __future__ import annotations
 
+import codecs
 import os
 import re
 from array import array
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
 
-from kinrank.llm.common import ranges
+from kinrank.llm.common import ranges, values
 
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 #: UTF-8 of the white space characters beyond ASCII.
 WIDE_SPACE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
-#: Blank, letters that are letters under any Unicode version and in lower case one character each, punctuation.
-PLAIN = re.compile(rb" ((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-/:-@\[-`{-~]*)")
+#: Bytes of letters that are letters under any Unicode version and in lower case one character each (ASCII, and
+#: two-byte ones that begin with 0xC3), and of ASCII punctuation.
+LETTER, MARK = np.zeros(256, bool), np.zeros(256, bool)
+LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B), 0xC3, *range(0x80, 0x97), *range(0x98, 0xB7), *range(0xB8, 0xC0)]] = True
+MARK[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = True
+PLAIN = re.compile(rb" (?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+MARKS = re.compile(rb"[!-/:-@\[-`{-~]+")
 KNOWN = 600_000                       # distinct chunks that a worker keeps; it forgets all beyond that
 TOGETHER = 2000                       # chunks encoded in one call
 
@@ -50,48 +60,40 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True        # their strings in a text are ordinary text
+        added = [re.escape(t.content.encode()) for t in self.tok.get_added_tokens_decoder().values()]
+        self.whole = re.compile(b"|".join([WIDE_SPACE.pattern, *added]), re.I)
         self.model = self.tok.model
         probe = self.tok.encode(" A", add_special_tokens=False).ids
         self.blank = probe != self.tok.encode("A", add_special_tokens=False).ids     # blanks are kept
         self.lower = probe == self.tok.encode(" a", add_special_tokens=False).ids
         shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]        # bytes that stand for themselves
         hidden = [b for b in range(256) if b not in shown]
-        self.letters = {b: 256 + i for i, b in enumerate(hidden)}
+        letters = {b: chr(256 + i) for i, b in enumerate(hidden)}
+        self.letters = "".join(letters.get(b, chr(b)) for b in range(256))
         self.forget()
 
     def forget(self) -> None:
         self.known: dict[bytes, int] = {}
         self.flat, self.first, self.count = array("I"), array("q"), array("q")
-        self.pieces = {}
-
-    def _add(self, chunk: bytes, ids) -> None:
-        self.known[chunk] = len(self.first)
-        self.first.append(len(self.flat))
-        self.count.append(len(ids))
-        self.flat.extend(ids)
 
     def _learn(self, chunks: list[bytes]) -> None:
         """Encode chunks that aren't known. Those that begin with white space
         and hold more are encoded many in one string: they meet as in a text."""
-        joined, merge, plain = [], self.model.tokenize, PLAIN.fullmatch
+        names, found, joined = [], [], []
+        merge, show, is_plain, is_marks, lower, blank = (self.model.tokenize, codecs.charmap_decode, PLAIN.fullmatch,
+                                                         MARKS.fullmatch, self.lower, self.blank)
         for c in chunks:
-            if m := plain(c):
-                word, marks = m.groups()
-                if self.lower:
-                    word = word.decode().lower().encode()
-                if self.blank:
-                    word = b" " + word
-                ids = [t.id for t in merge(word.decode("latin-1").translate(self.letters))]
-                if marks:
-                    if marks not in self.pieces:
-                        self.pieces[marks] = [t.id for t in merge(marks.decode())]
-                    ids += self.pieces[marks]
-                self._add(c, ids)
+            if is_plain(c):
+                word = c.decode().lower().encode() if lower else c
+                found.append([t.id for t in merge(show(word if blank else word[1:], "strict", self.letters)[0])])
+            elif is_marks(c):
+                found.append([t.id for t in merge(c.decode())])
             elif SPACE[c[0]] and not SPACE[c[-1]]:
                 joined.append(c)
+                continue
             else:
-                self._add(c, self.tok.encode(c.decode(), add_special_tokens=False).ids)
+                found.append(self.tok.encode(c.decode(), add_special_tokens=False).ids)
+            names.append(c)
         for i in range(0, len(joined), TOGETHER):
             part = joined[i:i + TOGETHER]
             texts = [c.decode() for c in part]
@@ -101,8 +103,13 @@ class Encoder:
             of = np.searchsorted(begin, starts, "right") - 1
             cut = np.searchsorted(of, np.arange(len(part) + 1), "left").tolist()
             ids = e.ids
-            for c, s, t in zip(part, cut, cut[1:]):
-                self._add(c, ids[s:t])
+            names += part
+            found += [ids[s:t] for s, t in zip(cut, cut[1:])]
+        size = [len(x) for x in found]
+        self.known.update(zip(names, range(len(self.first), len(self.first) + len(names))))
+        self.first.extend(accumulate(size[:-1], initial=len(self.flat)) if size else ())
+        self.count.extend(size)
+        self.flat.extend(chain.from_iterable(found))
 
     def encode(self, buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts buf[off[i]:off[i+1]], and how many each has."""
@@ -110,19 +117,21 @@ class Encoder:
         if not len(buf):
             return np.zeros(0, np.uint32), np.zeros(n, np.int64)
         raw = buf.tobytes()
-        odd = {int(np.searchsorted(off, m.start(), "right")) - 1 for m in WIDE_SPACE.finditer(raw)}
+        odd = {int(np.searchsorted(off, m.start(), "right")) - 1 for m in self.whole.finditer(raw)}
         if odd:
             return self._encode_whole(raw, off, odd)
         space = SPACE[buf]
         edge = np.zeros(len(buf), bool)
         edge[1:] = space[1:] & ~space[:-1]
         edge[off[:-1][off[:-1] < off[1:]]] = True
-        begin = np.flatnonzero(edge)
+        begin = self._cut(buf, np.flatnonzero(edge), edge)
         ends = np.append(begin[1:], len(buf)).astype(np.int32)
         bounds = np.concatenate([begin[:1].astype(np.int32), ends])
         chunks = pa.Array.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer(bounds), pa.py_buffer(raw)])
         coded = chunks.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
+        data, at = values(coded.dictionary)
+        data, at = data.tobytes(), at.tolist()
+        distinct = [data[i:j] for i, j in zip(at, at[1:])]
         if len(self.known) > KNOWN:
             self.forget()
         new = [c for c in distinct if c not in self.known]
@@ -134,6 +143,20 @@ class Encoder:
         upto = np.concatenate([[0], np.cumsum(count)])[np.searchsorted(begin, off, "left")]
         return ids, np.diff(upto)
 
+    @staticmethod
+    def _cut(buf: np.ndarray, begin: np.ndarray, edge: np.ndarray) -> np.ndarray:
+        """Where the chunks begin once those of a blank, letters and then
+        punctuation are cut between the two."""
+        letter, mark = LETTER[buf], MARK[buf]
+        odd = ~(letter | mark)
+        odd[1:] |= letter[1:] & mark[:-1]
+        before = np.cumsum(odd, dtype=np.int32)
+        last = np.append(begin[1:], len(buf)) - 1
+        plain = (buf[begin] == 32) & (before[last] == before[begin]) & letter[np.minimum(begin + 1, len(buf) - 1)] & (last > begin)
+        at = np.flatnonzero(mark[1:] & letter[:-1]) + 1
+        edge[at[plain[np.searchsorted(begin, at, "right") - 1]]] = True
+        return np.flatnonzero(edge)
+
     def _encode_whole(self, raw: bytes, off: np.ndarray, odd: set[int]) -> tuple[np.ndarray, np.ndarray]:
         ids, count, i, n = [], [], 0, len(off) - 1
         while i < n:

@@ -6,9 +6,11 @@ import zlib
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from kinrank.llm import html_extract, packing, token_store, toxicity
+from kinrank.llm.common import lowest
 from kinrank.llm.tokens import encoder
 
 TINY = "/root/testdata/sf0.001"
@@ -22,15 +24,29 @@ def odd_texts(seed, n=150):
     return [None, "", " ", "x y " * 3000] + ["".join(r.choice(parts) for _ in range(r.randint(0, 60))) for _ in range(n)]
 
 
+def fresh(name="word_bpe_49k.json"):
+    """The tokenizer as its file has it."""
+    return Tokenizer.from_file(packing.vocabulary(name))
+
+
+def test_special_tokens_in_texts_are_the_librarys():
+    enc = encoder(packing.vocabulary())
+    texts = ["a <|endoftext|> b", "x<|startoftext|>", "plain words, here."]
+    raw = [t.encode() for t in texts]
+    ids, count = enc.encode(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+    assert count[0] == 3
+    assert ids.tolist() == [i for t in texts for i in fresh().encode(t, add_special_tokens=False).ids]
+
+
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
 def test_encoder_equals_the_library(name, monkeypatch):
-    enc = encoder(packing.vocabulary(name))
+    enc, tok = encoder(packing.vocabulary(name)), fresh(name)
     texts = [t or "" for t in odd_texts(1, 3000)]
     raw = [t.encode() for t in texts]
     ids, count = enc.encode(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
-    assert np.split(ids, np.cumsum(count)[:-1])[0].tolist() == enc.tok.encode(texts[0], add_special_tokens=False).ids
+    assert np.split(ids, np.cumsum(count)[:-1])[0].tolist() == tok.encode(texts[0], add_special_tokens=False).ids
     for t, part in zip(texts, np.split(ids, np.cumsum(count)[:-1])):
-        assert part.tolist() == enc.tok.encode(t, add_special_tokens=False).ids, t
+        assert part.tolist() == tok.encode(t, add_special_tokens=False).ids, t
 
 
 def write(spark, tmp_path, rows):
@@ -43,7 +59,7 @@ def test_packing_is_gapless_and_tight(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(packing, "SALT_ROWS", 20)
     rows = list(zip(random.Random(2).sample(range(-99, 999), 154), odd_texts(2)))
     got = packing.op5(spark, write(spark, tmp_path, rows)).collect()
-    tok = encoder(packing.vocabulary()).tok
+    tok = fresh()
     want = set()
     total = 0
     for i, t in rows:
@@ -118,7 +134,7 @@ def test_codes_give_back_any_id(top):
 def test_token_files_read_back(spark, tmp_path):
     rows = list(zip(random.Random(3).sample(range(-99, 999), 154), odd_texts(3)))
     got = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in token_store.op8(spark, write(spark, tmp_path, rows)).collect()}
-    tok = encoder(packing.vocabulary("byte_bpe_50k.json")).tok
+    tok = fresh("byte_bpe_50k.json")
     want, start = {}, 0
     for i, t in sorted(rows, key=lambda x: x[0]):
         ids = np.array(tok.encode(t or "", add_special_tokens=False).ids + [0], "<u4")
@@ -132,7 +148,7 @@ def test_token_files_of_awkward_tables_and_lookup(spark):
     path = packing.vocabulary("byte_bpe_50k.json")
     folder = token_store.write_tokens(df, path)
     assert token_store.read_tokens(spark, folder).count() == 5
-    want = encoder(path).tok.encode("one two three").ids + [0]
+    want = fresh("byte_bpe_50k.json").encode("one two three", add_special_tokens=False).ids + [0]
     assert token_store.lookup(spark, folder, 7, [3, 0]) == [want[3], want[0]]
     empty = token_store.write_tokens(df.where("false"), path)
     assert token_store.read_tokens(spark, empty).count() == 0
@@ -242,3 +258,43 @@ def test_pipeline_stages_follow_each_other(spark, tmp_path):
     assert at.where("doc_id = 100001").count() == 1
     packed = corpus_pipeline.STAGES[-1][1](spark, at, str(tmp_path))
     assert {r.doc_id for r in packed.collect()} == ids[3]
+
+
+def test_the_empty_text_scores_the_share_of_ones(spark):
+    for sf in ("sf0.001", "sf0.01"):
+        docs, labels = (spark.read.parquet(f"/root/testdata/{sf}/{t}.parquet") for t in ("documents", "labels"))
+        odd = spark.createDataFrame([(1, None, "c"), (2, "", "c"), (3, " \n\t ", "c"), (4, "x " * 2_000_000, "c"), (4, None, "c")],
+                                    "doc_id long, text string, score string")
+        got = toxicity.score(odd, toxicity.fit(docs, labels), carry=("score",)).orderBy("doc_id").collect()
+        assert got[0].score == got[1].score == got[2].score < 0.2 and len(got) == 5
+        assert got[0].carried.score == "c"
+
+
+def test_the_sample_is_one_row_for_each_of_the_lowest_hashes(spark):
+    df = spark.range(40).select("id", F.explode(F.sequence(F.lit(1), F.lit(300))).alias("copy"))
+    key = F.xxhash64("id")
+    want = sorted(r[0] for r in df.select(key).distinct().collect())[:20]
+    assert sorted(r[0] for r in lowest(df, key, 20).select(key).collect()) == want
+    assert lowest(df, key, 60).count() == 40
+    assert lowest(df.where("false"), key, 5).count() == 0
+
+
+def test_the_training_texts_are_bounded(spark):
+    docs = spark.createDataFrame([(i, f"word{i} " * 50) for i in range(40)] + [(1, "another text")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    seen = []
+    keep = toxicity.train
+    toxicity.train = lambda texts, y: seen.append(texts) or keep(texts, y)
+    try:
+        toxicity.fit(docs, labels, size=2000)
+    finally:
+        toxicity.train = keep
+    assert 1 < len(seen[0]) and sum(map(len, seen[0])) <= 2000
+
+
+def test_filtering_scores_equals_filtering_rows(spark):
+    docs = spark.createDataFrame([(i, f"good {i}" if i % 3 else "bad idiot", "c") for i in range(60)], "doc_id long, text string, source string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(60)], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    kept = toxicity.score(docs, model, carry=("doc_id", "text", "source"), below=0.3)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in toxicity.score(docs, model).where("score < 0.3").collect())
