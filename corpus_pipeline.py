@@ -21,11 +21,11 @@ ORACLE_SQL = None
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows scored below the threshold stay, as they are. The classifier learns
+    """Rows scored below the threshold stay, as they are; null and empty texts
+    score the share of toxic labels and equal texts alike. The classifier learns
     from labelled documents of this stage's input that aren't held out."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    scored = toxicity.score(docs, model, carry=tuple(docs.columns))
-    return scored.where(F.col("score") < toxicity.THRESHOLD).select("carried.*")
+    return toxicity.score(docs, model, carry=tuple(docs.columns), below=toxicity.THRESHOLD).select("carried.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
