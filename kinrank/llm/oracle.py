@@ -7,6 +7,7 @@ models), and the pipeline; those are tested against plain Python instead.
 from __future__ import annotations
 
 from kinrank.llm.decontaminate import WINDOW
+from kinrank.llm.lexical import TOP
 from kinrank.llm.substring_dedup import WIDTH as WORDS
 from kinrank.llm.suffix_dedup import WIDTH as BYTES
 
@@ -76,5 +77,21 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(h.n_hit, 0)
 FROM d LEFT JOIN h ON h.doc_id = d.doc_id LEFT JOIN i ON i.doc_id = d.doc_id"""
 
 
+RANKING = f"""WITH d AS ({_words('documents', 'doc_id')}),
+b AS ({_words('benchmark', 'item_id')}),
+t AS (SELECT doc_id, x, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS x FROM d) y GROUP BY doc_id, x),
+n AS (SELECT doc_id, len(w) AS n FROM d WHERE len(w) > 0),
+g AS (SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM n),
+w AS (SELECT x, CAST(floor(1000 * ln(CAST(2 * max(n_docs) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM t, g GROUP BY x),
+q AS (SELECT DISTINCT item_id, unnest(w) AS x FROM b),
+s AS (
+  SELECT q.item_id, t.doc_id, CAST(sum(w.w * ((1000000000 * t.tf) // (1000 * t.tf + 20 * (100 - 50 + (50 * n.n * g.n_docs) // g.n_terms)))) AS BIGINT) AS score
+  FROM q JOIN w ON w.x = q.x JOIN t ON t.x = q.x JOIN n ON n.doc_id = t.doc_id, g GROUP BY q.item_id, t.doc_id),
+r AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+  FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= {TOP}"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_suffix_array_dedup": STRINGS, "op2_benchmark_decontamination": CONTAMINATION, "op10_substring_dedup": PASSAGES}
+    return {"op12_ranked_lexical_search": RANKING, "op1_suffix_array_dedup": STRINGS, "op2_benchmark_decontamination": CONTAMINATION, "op10_substring_dedup": PASSAGES}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from kinrank.llm import (decontaminate, html_extract, minhash, oracle, packing, sharding, simhash, substring_dedup,
+from kinrank.llm import (bpe, conversations, decontaminate, html_extract, lexical, minhash, oracle, packing, sharding, simhash, substring_dedup,
                          suffix_dedup, token_store, toxicity)
 
 
@@ -18,6 +18,9 @@ def queries():
         "op8_token_files": token_store.op8,
         "op9_toxicity": toxicity.op9,
         "op10_substring_dedup": substring_dedup.op10,
+        "op11_conversation_repair": conversations.op11,
+        "op12_ranked_lexical_search": lexical.op12,
+        "op13_byte_level_bpe": bpe.op13,
     }
 
 
