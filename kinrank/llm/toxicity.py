@@ -40,12 +40,18 @@ STRETCH = 30.0                        # a few words decide, so means are small
 BLANK_WORDS = 50                      # words without a vector that every document has besides, so few words prove little
 THRESHOLD = 0.3
 FOLDS, HELD_OUT = 4, 2
+TOGETHER = 20_000                     # words whose n-grams are hashed at a time
 KNOWN = 200_000                       # words whose score a worker keeps
 
 
 def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of the n-grams of ``<word>`` and of the whole word, word after
     word, and how many each word has."""
+    parts = [_grams(words[i:i + TOGETHER]) for i in range(0, len(words), TOGETHER)] or [_grams([])]
+    return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+
+
+def _grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     shown = np.frombuffer("".join(f"<{w}>" for w in words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     size = np.array([len(w) + 2 for w in words], np.int64)
     begin = np.cumsum(size) - size
@@ -79,16 +85,15 @@ def words_of(text: str) -> list[str]:
 def bags(texts) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
     """The texts' distinct words; then of each (text, word) met the text, the
     word and 1 + log of its occurrences there."""
-    flat, size = [], []
-    for t in texts:
-        own = words_of(t)
-        flat += own
-        size.append(len(own))
-    coded = pa.array(flat, pa.large_string()).dictionary_encode()
-    names = coded.dictionary.to_pylist()
-    met, count = np.unique(np.repeat(np.arange(len(size)), size) * max(1, len(names)) + coded.indices.to_numpy(), return_counts=True)
-    doc, word = np.divmod(met, max(1, len(names)))
-    return names, doc, word, 1.0 + np.log(count)
+    number: dict[str, int] = {}
+    docs, words, counts = [], [], []
+    for i, t in enumerate(texts):
+        own = np.array([number.setdefault(w, len(number)) for w in words_of(t)], np.int32)
+        word, count = np.unique(own, return_counts=True)
+        docs.append(np.full(len(word), i, np.int32)), words.append(word), counts.append(count)
+    if not docs:
+        return [], np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0)
+    return list(number), np.concatenate(docs), np.concatenate(words), 1.0 + np.log(np.concatenate(counts))
 
 
 class Model:
