@@ -18,6 +18,7 @@ from kinrank.functions.columns import round6
 from kinrank.operators import centering, evaluate, factors, nbcf, neighbours, predict, quality
 from kinrank.operators.pairs import co_rated_counts
 from kinrank.operators.similarity import mirror, similarity
+from kinrank.operators.threshold import similar_above
 from kinrank.schema import ITEM, NEIGHBOUR, PRED, RATING, SIM, USER
 from kinrank.session import materialize
 from kinrank.sources import ratings as src
@@ -234,6 +235,24 @@ def q_top_neighbours(spark, d):
     return _overlap_neighbours(spark, d)[2].select(USER, NEIGHBOUR, SIM, "rank")
 
 
+@register("similarity_above")
+def q_similarity_above(spark, d):
+    """Events-form overlap similarities over the threshold, without a row for
+    every co-rated pair."""
+    return similar_above(events_split(spark, d)[0], THRESHOLD, "overlap")
+
+
+@register("similarity_above_cosine")
+def q_similarity_above_cosine(spark, d):
+    return similar_above(events_split(spark, d)[0], DEMO_THRESHOLD, "cosine")
+
+
+@register("top_neighbours_events")
+def q_top_neighbours_events(spark, d):
+    sims = similar_above(events_split(spark, d)[0], THRESHOLD, "overlap")
+    return neighbours.top_neighbours(sims, N_NEIGHBOURS).select(USER, NEIGHBOUR, SIM, "rank")
+
+
 def _corated_all(spark, d, targets=None, n=N_NEIGHBOURS, ratings=None):
     valid = ratings if ratings is not None else _valid_train(spark, d)
     sims = similarity(valid, "corated")

@@ -348,6 +348,21 @@ SELECT user_id, neighbour_id, n_common, similarity FROM sims""",
 {stats()},
 {cosine()}
 SELECT user_id, neighbour_id, n_common, similarity FROM sims""",
+    "similarity_above": f"""{EVT},
+{stats()},
+{overlap()}
+SELECT user_id, neighbour_id, n_common, similarity FROM sims WHERE similarity > {THRESHOLD}""",
+    "similarity_above_cosine": f"""{EVT},
+{stats()},
+{cosine()}
+SELECT user_id, neighbour_id, n_common, similarity FROM sims WHERE similarity > {DEMO_THRESHOLD}""",
+    "top_neighbours_events": f"""{EVT},
+{stats()},
+{overlap()},
+s2 AS (SELECT user_id, neighbour_id, similarity FROM sims WHERE similarity > {THRESHOLD}
+  UNION ALL SELECT neighbour_id, user_id, similarity FROM sims WHERE similarity > {THRESHOLD}),
+r2 AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY similarity DESC, neighbour_id) AS rk FROM s2)
+SELECT user_id, neighbour_id, similarity, CAST(rk AS INTEGER) AS "rank" FROM r2 WHERE rk <= {N_NEIGHBOURS}""",
     "similarity_item_cosine": f"""{ORD},
 {stats(name='ist', cname='icent', ent='item_id', oth='user_id')},
 {cosine(cent='icent', ent='item_id', oth='user_id')}
