@@ -469,7 +469,14 @@ def q_als_loss(spark, d):
 @register("als_loss_trace")
 def q_als_loss_trace(spark, d):
     train = orders_split(spark, d)[0]
-    return factors.loss_trace(train, ALS_RANK, ALS_REG, ALS_ITER, SEED)
+    return factors.loss_trace(train, ALS_RANK, ALS_REG, ALS_ITER)
+
+
+@register("als_loss_trace_rank2")
+def q_als_loss_trace_rank2(spark, d):
+    """The first two iterations at rank 2, whose solves SQL can spell out."""
+    train = orders_split(spark, d)[0]
+    return factors.loss_trace(train, 2, ALS_REG, 2).select("iteration", round6("loss").alias("loss"))
 
 
 @register("als_recommend")

@@ -11,7 +11,7 @@ engine-dependent order are rounded to 6 digits; ties break by id.
 
 from __future__ import annotations
 
-from kinrank.constants import (BIASED_MAX_ITEMS, CLIP_HIGH, CLIP_LOW, DEMO_THRESHOLD, FRACTIONS, K_RATERS,
+from kinrank.constants import (ALS_REG, BIASED_MAX_ITEMS, CLIP_HIGH, CLIP_LOW, DEMO_THRESHOLD, FRACTIONS, K_RATERS,
                                KNN_EPSILON, N_NEIGHBOURS, N_RECOMMEND, PEARSON_MIN_COMMON,
                                PEARSON_MIN_STD, SAMPLE_ITEM_MULT, SAMPLE_USER_MULT, SPLIT_BUCKETS,
                                SPLIT_ITEM_MULT, SPLIT_TRAIN_BUCKETS, SPLIT_USER_MULT, SWEEP,
@@ -487,5 +487,42 @@ SELECT user_id, least({N_RECOMMEND}, (SELECT COUNT(DISTINCT item_id) FROM train)
 FROM train GROUP BY user_id HAVING (SELECT COUNT(DISTINCT item_id) FROM train) > COUNT(*)"""
 
 
+def _als_start(col, name):
+    """First factors at rank 2, from the ids."""
+    value = lambda a: f"((((({col} % 9973 + 9973) % 9973) * {31 + 2 * a} + {17 * a}) % 101 + 11) / 111.0 / sqrt(CAST(2 AS DOUBLE)))"
+    return f"{name} AS MATERIALIZED (SELECT {col}, {value(0)} AS f0, {value(1)} AS f1 FROM (SELECT DISTINCT {col} FROM train) d)"
+
+
+def _als_step(by, other, source, name):
+    """The 2 x 2 ridge solves of one side."""
+    return f"""{name} AS MATERIALIZED (
+  SELECT {by}, (b0 * a11 - b1 * a01) / (a00 * a11 - a01 * a01) AS f0, (b1 * a00 - b0 * a01) / (a00 * a11 - a01 * a01) AS f1
+  FROM (SELECT c.{by}, sum(f0 * f0) + {ALS_REG} * count(*) AS a00, sum(f0 * f1) AS a01, sum(f1 * f1) + {ALS_REG} * count(*) AS a11,
+          sum(centered * f0) AS b0, sum(centered * f1) AS b1
+        FROM cent c JOIN {source} s ON s.{other} = c.{other} GROUP BY c.{by}) n)"""
+
+
+def _als_loss(i, x, w):
+    """The loss of two sides, every cell of the matrix that is not rated counting as 0."""
+    gram = lambda t: f"(SELECT sum(f0 * f0) AS a, sum(f0 * f1) AS b, sum(f1 * f1) AS c FROM {t})"
+    return f"""SELECT CAST({i} AS INTEGER) AS iteration, round(sqrt(greatest(0, o.yy - 2 * o.yf + x.a * w.a + 2 * x.b * w.b + x.c * w.c))
+    / (2 * (SELECT count(*) FROM ust)) + {ALS_REG} * (sqrt(x.a + x.c) + sqrt(w.a + w.c)), 6) AS loss
+  FROM (SELECT sum(centered * centered) AS yy, sum(centered * (x.f0 * w.f0 + x.f1 * w.f1)) AS yf
+        FROM cent c JOIN {x} x ON x.user_id = c.user_id JOIN {w} w ON w.item_id = c.item_id) o, {gram(x)} x, {gram(w)} w"""
+
+
+SQL["als_loss_trace_rank2"] = f"""{ORD},
+{stats()},
+{_als_start('user_id', 'x0')},
+{_als_start('item_id', 'w0')},
+{_als_step('user_id', 'item_id', 'w0', 'x1')},
+{_als_step('item_id', 'user_id', 'x1', 'w1')},
+{_als_step('user_id', 'item_id', 'w1', 'x2')},
+{_als_step('item_id', 'user_id', 'x2', 'w2')}
+{_als_loss(0, 'x0', 'w0')} UNION ALL
+{_als_loss(1, 'x1', 'w1')} UNION ALL
+{_als_loss(2, 'x2', 'w2')}"""
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)
