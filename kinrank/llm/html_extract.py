@@ -18,6 +18,7 @@ from __future__ import annotations
 import html
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -34,10 +35,11 @@ BLOCK = set("""address article aside blockquote body button center dd details di
 footer form h1 h2 h3 h4 h5 h6 header hgroup hr html label legend li main menu nav ol option p pre section select summary
 table tbody td tfoot th thead tr ul caption""".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-SKIP = set("script style title textarea noscript iframe template svg math head object video audio canvas".split())
+SKIP = set("script style title textarea noscript iframe template svg head".split())       # code, forms and what has no text
 GROUPS = ["nav menu", "header", "footer", "aside", "form button select option fieldset label legend dialog", "article main",
           "section", "div", "p pre blockquote", "h1 h2 h3 h4 h5 h6 hgroup", "ul ol dl li dt dd", "table thead tbody tfoot tr td th caption",
           "figure figcaption"]
+OWN = 29                              # features before those of the tag's group
 GROUP = {t: i for i, g in enumerate(GROUPS) for t in g.split()}
 AGAINST = set("""ad ads adv advert advertisement adverts aside author banner bar bio bottom breadcrumb breadcrumbs byline comment
 comments consent cookie cookies copyright disclaimer disqus dialog feedback footer form gdpr header infobar legal links login masthead
@@ -55,22 +57,24 @@ MARKS = re.compile(r"[.,;:!?]")
 
 
 class Page:
-    """Parent, tag and attribute signs of every node, in page order; leaves
-    have text. A parent stands before its children."""
+    """Parent, tag and attribute words of every node (how many speak for an
+    article, how many against), in page order; leaves have text. A parent stands
+    before its children. Parsing takes time in proportion to the page."""
 
     def __init__(self, source: str, marked: bool = False):
         self.parent, self.tag, self.text, self.link = [-1], ["html"], [None], [0]
-        self.sign, self.mark = [0], [None]
+        self.good, self.bad, self.mark = [0], [0], [None]
         self.marked = marked
         self._parse(source)
 
-    def _node(self, parent, tag, text=None, link=0, sign=0, mark=None):
+    def _node(self, parent, tag, text=None, link=0, good=0, bad=0, mark=None):
         self.parent.append(parent), self.tag.append(tag), self.text.append(text), self.link.append(link)
-        self.sign.append(sign), self.mark.append(mark)
+        self.good.append(good), self.bad.append(bad), self.mark.append(mark)
         return len(self.parent) - 1
 
     def _parse(self, source):
         stack: list[tuple[str, int]] = [("html", 0)]        # tag, nearest block node
+        places: dict[str, list[int]] = {}                   # of the open tags above it, in the stack
         run: list[str] = []
         links = [0]
 
@@ -85,9 +89,18 @@ class Page:
             if raw:
                 t = html.unescape(raw)
                 run.append(t)
-                if any(n == "a" for n, _ in stack):
+                if places.get("a"):
                     links[0] += len(t.strip())
 
+        def push(tag, node):
+            places.setdefault(tag, []).append(len(stack))
+            stack.append((tag, node))
+
+        def cut(size):
+            while len(stack) > size:
+                tag, _ = stack.pop()
+                places[tag].pop()
+
         at, end = 0, len(source)
         while at < end:
             m = TOKEN.search(source, at)
@@ -99,14 +112,10 @@ class Page:
             closing, opening, attributes = m.groups()
             if closing:
                 tag = closing.lower()
-                if any(n == tag for n, _ in stack[1:]):
-                    if tag in BLOCK:
+                if places.get(tag):
+                    if tag in BLOCK or any(t in BLOCK and places.get(t) and places[t][-1] > places[tag][-1] for t in places):
                         flush()
-                    while stack[-1][0] != tag:
-                        if stack[-1][0] in BLOCK:
-                            flush()
-                        stack.pop()
-                    stack.pop()
+                    cut(places[tag][-1])
                 elif tag in BLOCK:
                     flush()
             elif opening:
@@ -123,63 +132,60 @@ class Page:
                     continue
                 if tag in BLOCK:
                     flush()
-                    self._close(stack, tag)
+                    cut(self._closed(places, tag, len(stack)))
                     node = self._node(stack[-1][1], tag, None, 0, *self._signs(attributes))
                     if tag not in VOID:
-                        stack.append((tag, node))
+                        push(tag, node)
                 elif tag == "br" or tag in VOID:
                     run.append(" ")
                 elif not attributes.endswith("/"):
-                    stack.append((tag, stack[-1][1]))
+                    push(tag, stack[-1][1])
         flush()
 
     @staticmethod
-    def _close(stack, tag):
-        """End tags that a start tag implies."""
+    def _closed(places, tag, size):
+        """How much of the stack stays open under a start tag that implies end tags."""
         names = {"p"} if tag not in ("button", "label", "option", "select") else set()
         until: tuple = ("button", "td", "th", "body", "html", "div", "section", "article", "li", "form", "blockquote")
         if tag in CLOSES:
             own, until_own = CLOSES[tag]
             names, until = names | set(own.split()), until_own
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i][0] in names:
-                del stack[i:]
-                return
-            if stack[i][0] in until:
-                return
+        last = lambda tags: max((places[t][-1] for t in tags if places.get(t)), default=0)
+        found = last(names)
+        return found if found and found >= last(until) else size
 
     def _signs(self, attributes):
-        """+1 or -1 as names in the attributes speak for an article or against."""
-        sign, mark = 0, None
+        """How many words of the attributes speak for an article, how many against."""
+        good = bad = 0
+        mark = None
         for m in ATTRIBUTE.finditer(attributes):
             name, value = m.group(1).lower(), next((g for g in m.groups()[1:] if g is not None), "")
             if name in ("class", "id", "role", "aria-label", "itemprop", "data-role", "data-component"):
                 words = {w.lower() for w in NAME.findall(value)}
-                if words & AGAINST:
-                    sign = -1
-                elif words & FOR and sign == 0:
-                    sign = 1
+                good, bad = good + len(words & FOR), bad + len(words & AGAINST)
             elif self.marked and name == "data-part":
                 mark = int(value)
-        return sign, mark
+        return good, bad, mark
 
     def features(self) -> np.ndarray:
         n = len(self.parent)
         chars, words, links, marks, blocks, prose, controls = (np.zeros(n) for _ in range(7))
         parent = self.parent
         kids: list[list[int]] = [[] for _ in range(n)]
-        depth, innermost, bad, good = ([0] * n for _ in range(4))
+        depth, innermost, bad, good, nearest, above_good, above_bad = ([0] * n for _ in range(7))
         group = [GROUP.get(t, -1) for t in self.tag]
         for i in range(n):
             p = parent[i]
             if p >= 0:
                 kids[p].append(i)
                 depth[i], innermost[i], bad[i], good[i] = depth[p] + 1, innermost[p], bad[p], good[p]
+                nearest[i], above_good[i], above_bad[i] = nearest[p], above_good[p], above_bad[p]
             own = -1 if 0 <= group[i] <= 4 else 1 if group[i] == 5 else 0
-            if self.sign[i] < 0 or own < 0:
-                innermost[i], bad[i] = -1, 1
-            elif self.sign[i] > 0 or own > 0:
-                innermost[i], good[i] = 1, 1
+            if own:
+                innermost[i], bad[i], good[i] = own, bad[i] or own < 0, good[i] or own > 0
+            if self.good[i] or self.bad[i]:
+                nearest[i] = (self.good[i] > 0) - (self.bad[i] > 0)
+                above_good[i], above_bad[i] = above_good[i] + (self.good[i] > 0), above_bad[i] + (self.bad[i] > 0)
             if self.text[i] is not None:
                 t = self.text[i]
                 chars[i], words[i], links[i], blocks[i] = len(t), t.count(" ") + 1, self.link[i], 1
@@ -192,27 +198,28 @@ class Page:
             chars[p] += chars[i]; words[p] += words[i]; links[p] += links[i]; marks[p] += marks[i]  # noqa: E702
             blocks[p] += blocks[i]; prose[p] += prose[i]; controls[p] += controls[i]  # noqa: E702
         total = max(1.0, chars[0])
-        x = np.zeros((n, 23 + len(GROUPS)))
+        x = np.zeros((n, OWN + len(GROUPS)))
         rank, many, same, near = (np.zeros(n) for _ in range(4))
         for k in kids:
             if k:
-                tags = [self.tag[i] for i in k]
+                tags = Counter(self.tag[i] for i in k)
                 mean = float(np.mean(np.log1p(chars[k])))
                 for r, i in enumerate(k):
-                    rank[i], many[i], same[i], near[i] = r, len(k), tags.count(self.tag[i]) / len(k), mean
+                    rank[i], many[i], same[i], near[i] = r, len(k), tags[self.tag[i]] / len(k), mean
         up = np.array([max(p, 0) for p in parent])
+        home = np.where([t is not None for t in self.text], up, np.arange(n))          # a leaf has its element's tag and words
+        own_good, own_bad = np.array(self.good), np.array(self.bad)
         safe = np.maximum(chars, 1)
         for j, col in enumerate((
                 [t is not None for t in self.text], np.log1p(chars), links / safe, np.log1p(words), marks / np.maximum(words, 1),
                 chars / np.maximum(words, 1), chars / total, np.log1p(blocks), np.log1p(chars / np.maximum(blocks, 1)), depth, rank,
                 np.log1p(many), chars / np.maximum(chars[up], 1), same, near, prose / safe, np.log1p(controls), before / total,
-                self.sign, innermost, bad, good, links[up] / np.maximum(chars[up], 1))):
+                own_good[home], own_bad[home], own_good[up[home]], own_bad[up[home]], nearest, above_good, above_bad,
+                innermost, bad, good, links[up] / np.maximum(chars[up], 1))):
             x[:, j] = col
-        own = np.array([group[p] if self.text[i] is not None else group[i] for i, p in enumerate(parent)])   # a leaf has its element's tag
-        own_sign = np.array([self.sign[p] if self.text[i] is not None else self.sign[i] for i, p in enumerate(parent)])
-        x[:, 18] = own_sign
+        own = np.array(group)[home]
         has = own >= 0
-        x[np.flatnonzero(has), 23 + own[has]] = 1
+        x[np.flatnonzero(has), OWN + own[has]] = 1
         return x
 
     def decode(self, odds: np.ndarray) -> str:
@@ -240,6 +247,9 @@ class Page:
         y = np.full(len(self.parent), -1)
         for i in range(len(self.parent)):
             y[i] = self.mark[i] if self.mark[i] is not None else y[self.parent[i]] if self.parent[i] >= 0 else -1
+        for i in range(len(self.parent) - 1, 0, -1):                    # what holds the article stays, too
+            if y[i] == 1 and y[self.parent[i]] < 0:
+                y[self.parent[i]] = 1
         return y
 
 
@@ -300,6 +310,14 @@ class Boosted:
         return z
 
 
+def _modifiers(r: random.Random) -> list[str]:
+    """Class names of containers of whole pages or articles that hold words against."""
+    words = sorted(AGAINST)
+    forms = [lambda w: f"has-{w}", lambda w: f"no-{w}", lambda w: f"with-{w}", lambda w: f"{w}-open", lambda w: f"{w}-enabled",
+             lambda w: f"{w}-fixed", lambda w: f"{w}-jane", lambda w: f"tag-{w}", lambda w: f"{w}-{r.choice(words)}-on"]
+    return [r.choice(forms)(r.choice(words)) for _ in range(r.randint(1, 3))]
+
+
 def _laid_out(sentences: list[str], r: random.Random) -> str:
     """The sentences in a page of other make, its parts marked."""
     esc = html.escape
@@ -337,29 +355,32 @@ def _laid_out(sentences: list[str], r: random.Random) -> str:
     for _ in range(r.choice([0, 0, 1, 2])):
         body.insert(r.randint(1, len(body)), r.choice(extras[4:])())
     tag, name = r.choice([("article", ""), ("article", "x4"), ("main", ""), ("div", "content"), ("div", "post"), ("div", "entry-content"),
-                          ("section", "story"), ("div", "article-body"), ("div", "x5"), ("section", "")])
+                          ("section", "story"), ("div", "article-body"), ("div", "x5"), ("section", ""), ("main", "main"), ("div", "")])
+    if r.random() < 0.5:                                    # names that say what a page has besides
+        name = " ".join([name, *_modifiers(r)]).strip()
     main = f"<{tag}" + (f" class='{name}'" if name else "") + f" data-part=1>{''.join(body)}</{tag}>"
     above, below = ([r.choice(extras)() for _ in range(r.randint(0, 3))] for _ in range(2))
     inner = "".join([*above, main, *below])
     for _ in range(r.randint(0, 2)):
-        inner = r.choice(["<div class='wrapper'>{}</div>", "<div id='page'>{}</div>", "<main>{}</main>", "<div>{}</div>"]).format(inner) \
-            if "<main" not in inner else f"<div>{inner}</div>"
+        more = " ".join(["layout", *_modifiers(r)])
+        inner = r.choice(["<div class='wrapper'>{}</div>", "<div id='page'>{}</div>", "<main>{}</main>", "<div>{}</div>",
+                          f"<div class='{more}'>{{}}</div>"]).format(inner) if "<main" not in inner else f"<div>{inner}</div>"
     return f"<html><body>{inner}</body></html>"
 
 
 def train(sources: list[str], seed: int = 11) -> Boosted:
     """Fit on pages: their own article and boilerplate tags, and new layouts."""
     r = random.Random(seed)
-    xs, ys = [np.zeros((0, 23 + len(GROUPS)))], [np.zeros(0, int)]
+    xs, ys = [np.zeros((0, OWN + len(GROUPS)))], [np.zeros(0, int)]
     for source in sources:
         pages = [Page(source)]
         own = pages[0]
         y = np.full(len(own.parent), -1)
         for i in range(1, len(y)):
             g = GROUP.get(own.tag[i], -1)
-            y[i] = 0 if 0 <= g <= 4 or own.sign[i] < 0 else 1 if own.tag[i] == "article" else y[own.parent[i]]
+            y[i] = 0 if 0 <= g <= 4 else 1 if own.tag[i] == "article" else y[own.parent[i]]      # by tags, not by words
         labels = [y]
-        sentences = [s for t in own.text if t for s in re.split(r"(?<=[.!?])\s+", t) if s][:2000]
+        sentences = [s for t in own.text if t for s in re.split(r"(?<=[.!?])\s+", t) if s]
         for _ in range(LAYOUTS if sentences else 0):
             page = Page(_laid_out(sentences, r), marked=True)
             pages.append(page)

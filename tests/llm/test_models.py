@@ -298,3 +298,76 @@ def test_filtering_scores_equals_filtering_rows(spark):
     model = toxicity.fit(docs, labels)
     kept = toxicity.score(docs, model, carry=("doc_id", "text", "source"), below=0.3)
     assert sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in toxicity.score(docs, model).where("score < 0.3").collect())
+
+
+@pytest.fixture(scope="module")
+def page_model(spark):
+    return html_extract.train([r.html for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").limit(150).collect()])
+
+
+def text_of(model, source):
+    page = html_extract.Page(source)
+    return page.decode(model.odds(page.features()))
+
+
+PROSE = ("This is the first paragraph of the text, which says something long enough. It goes on a little.",
+         "And the second one follows, with more words in it, as articles have.")
+
+
+@pytest.mark.parametrize("name", ["content", "", "content has-sidebar", "post comments-open", "entry-content share-enabled",
+                                  "article-body no-ads", "main header-fixed", "post tag-news author-jane"])
+@pytest.mark.parametrize("tag", ["div", "main", "article"])
+def test_class_names_that_say_what_else_a_page_has(page_model, tag, name):
+    source = ("<html><body><nav><ul><li><a href=x>Home</a></li><li><a href=y>About</a></li></ul></nav>"
+              f"<{tag} class='{name}'><p>{PROSE[0]}</p><p>{PROSE[1]}</p></{tag}><footer>Copyright 2024 someone</footer></body></html>")
+    assert text_of(page_model, source) == "\n".join(PROSE)
+
+
+def test_formulas_and_fallback_texts_are_text(page_model):
+    source = (f"<body><article><p>{PROSE[0]}</p><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> hold. It is so.</p>"
+              f"<p>Here is <video src=v>the film in words</video> and more of it.</p><p>{PROSE[1]}</p></article></body>")
+    assert text_of(page_model, source) == f"{PROSE[0]}\nLet x=2 hold. It is so.\nHere is the film in words and more of it.\n{PROSE[1]}"
+
+
+def test_pages_of_very_many_tags(page_model):
+    import time
+
+    start = time.process_time()
+    for source in ("<body><article>" + "<b>word <i>" * 100_000 + "</article>", "<body>" + "<b>" * 60_000 + "<h2>x</h2>" * 60_000,
+                   "<body><ul>" + "<li>x" * 100_000, "<div>" * 50_000 + "deep", "<a href='" * 20_000):
+        html_extract.Page(source).features()
+    assert time.process_time() - start < 60
+
+
+def test_the_kept_set_is_the_best_that_holds_every_ancestor():
+    import itertools
+
+    r = random.Random(8)
+    for _ in range(60):
+        source, depth = "", 0
+        for _ in range(r.randint(1, 7)):
+            if depth and r.random() < 0.4:
+                source, depth = source + "</div>", depth - 1
+            else:
+                source, depth = source + r.choice(["<div>", "<div>", "<p>some words</p>"]), depth
+                depth += source.endswith("<div>")
+        page = html_extract.Page("<section>" + source + "</section>")
+        n = len(page.parent)
+        odds = np.array([r.choice([-2.5, -1.25, 0.75, 1.5, 3.25]) + r.random() / 100 for _ in range(n)])
+        best, kept = None, None
+        for bits in itertools.product((0, 1), repeat=n - 1):
+            own = (1, *bits)
+            if all(own[page.parent[i]] >= own[i] for i in range(1, n)):
+                total = sum(odds[i] for i in range(1, n) if own[i])
+                if best is None or total > best:
+                    best, kept = total, own
+        assert page.decode(odds) == "\n".join(page.text[i] for i in range(n) if kept[i] and page.text[i] is not None)
+
+
+def test_a_page_repeated_thousands_of_times(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("page_id", "url", "html")
+    copies = pages.limit(1).select("page_id", "url", "html").crossJoin(spark.range(5000)).drop("id")
+    docs = pages.unionByName(copies)
+    model = html_extract.fit(docs)
+    row = pages.first()
+    assert text_of(model, row.html) == plain_article(row.html)
