@@ -10,8 +10,8 @@ shard; neighbouring finds of one item and one alignment join into the longest
 verbatim matches, with their places.
 
 The benchmark is a stated query set. It is read in blocks of at most
-BLOCK_BYTES of text (an item is never split); the documents pass the blocks one
-after the other, within the same task and without a shuffle.
+BLOCK_BYTES of text (an item is never split); every batch of documents meets
+one block after the other, within its task and without a shuffle.
 """
 
 from __future__ import annotations
@@ -21,13 +21,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinrank.llm.common import arrow_sized, ranges, ship, text_bytes
+from kinrank.llm.common import ROW_BATCH_BYTES, arrow_sized, ranges, ship, text_bytes
 
 WINDOW = 10
 BLOCK_BYTES = 8 << 20
 
 LETTERS = bytes(c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in range(256))
 BOUND = 0xFFFFFFFF
+ALONE = -1                            # beside an item's first or last word; ALONE - 1 beside a text's
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -59,7 +60,7 @@ class Suffixes:
                 for j in range(max(1, len(ids) - window + 1)):
                     places.setdefault(tuple(ids[j:j + window]), []).append((i, j))
                 pairs.update(zip(ids, ids[1:]))
-        size = len(self.vocab) + 2
+        self.size = size = len(self.vocab) + 4
         self.single = np.zeros(size, bool)                     # words that are a whole item
         self.single[[w[0] for w in places if len(w) == 1]] = True
         self.pairs = np.array(sorted(a * size + b for a, b in pairs), np.int64)
@@ -76,10 +77,15 @@ class Suffixes:
         self.begin = np.cumsum(self.count) - self.count
         self.item = np.array([i for i, _ in flat], np.int64)
         self.place = np.array([j for _, j in flat], np.int64)
-
-    def search(self, texts) -> tuple[list[int], list[list[dict]]]:
-        """Word counts of a shard's texts, and the longest matches of each."""
-        get, size = self.vocab.get, len(self.vocab) + 2
+        # the words beside each place, ALONE where there is none
+        sizes = np.repeat(self.length, self.count)
+        self.before = np.array([lists[i][j - 1] if j else ALONE for i, j in flat], np.int64)
+        self.after = np.array([lists[i][j + n] if j + n < len(lists[i]) else ALONE for (i, j), n in zip(flat, sizes.tolist())], np.int64)
+
+    def search(self, texts) -> tuple[list[int], list[int], list[list[dict]]]:
+        """Of a shard's texts the word counts, the words inside any window, and
+        the longest matches: one for each run of one alignment with an item."""
+        get, size = self.vocab.get, self.size
         seq, count = [], []
         for t in texts:
             w = words_of(t)
@@ -89,7 +95,7 @@ class Suffixes:
         seq = np.array(seq + [0] * self.window, np.int64)
         matches: list[list[dict]] = [[] for _ in count]
         if not len(self.length):
-            return count, matches
+            return count, [0] * len(count), matches
         begin = np.cumsum(np.array(count) + 1) - np.array(count) - 1
         at = np.flatnonzero(seq[:-1] > 1)
         code = seq[at] * size + seq[at + 1]
@@ -104,26 +110,49 @@ class Suffixes:
         lo = np.searchsorted(keys, self.low, "left")
         hi = np.where(self.low_is_high, np.searchsorted(keys, self.low, "right"), np.searchsorted(keys, self.high, "left"))
         found = hi - lo
-        suffix = np.repeat(np.arange(len(found)), found)
+        window = np.repeat(np.arange(len(found)), found)      # of each find
         where = at[ranges(lo, found)]
-        row = np.searchsorted(begin, where, "right") - 1
-        where = where - begin[row]
-        many = self.count[suffix]                              # items that have this window
-        pick = ranges(self.begin[suffix], many)
-        row, where, width = (np.repeat(x, many) for x in (row, where, self.length[suffix]))
-        item, place = self.item[pick], self.place[pick]
-        order = np.lexsort((where, place - where, item, row))
-        row, where, width, item, place = (x[order] for x in (row, where, width, item, place))
-        new = np.ones(len(row), bool)
-        new[1:] = ((row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (where[1:] != where[:-1] + 1)
-                   | (place[1:] != place[:-1] + 1))
-        first = np.flatnonzero(new)
-        last = np.append(first[1:], len(row)) - 1 if len(first) else first
-        length = where[last] - where[first] + width[first]
-        for r, i, p, w, n in zip(row[first].tolist(), item[first].tolist(), place[first].tolist(),
-                                 where[first].tolist(), length.tolist()):
+        width = self.length[window]
+        covered = np.zeros(len(seq) + 1, np.int64)             # each find once, whatever the items' places
+        np.add.at(covered, where, 1)
+        np.add.at(covered, where + width, -1)
+        inside = np.concatenate([[0], np.cumsum(np.cumsum(covered)[:-1] > 0)])
+        many = np.array(count, np.int64)
+        hits = (inside[begin + many] - inside[begin]).tolist()
+        # a match begins where the words before differ, and ends where those after do
+        alone = np.concatenate([[True], (seq[:-1] < 2)])
+        before = np.where(alone[where], ALONE - 1, seq[where - 1])
+        past = seq[where + width]
+        after = np.where(past < 2, ALONE - 1, past)
+        first = self._unlike(window, where, before, self.before)
+        last = self._unlike(window, where, after, self.after)
+        row, end_row = (np.searchsorted(begin, x[0], "right") - 1 for x in (first, last))
+        one = np.lexsort((first[0], first[2] - first[0], first[1], row))
+        two = np.lexsort((last[0], last[2] - last[0], last[1], end_row))
+        start, item, place = (x[one] for x in first[:3])
+        length = (last[0] + last[3])[two] - start              # starts and ends of an alignment alternate
+        for r, i, p, w, n in zip(row[one].tolist(), item.tolist(), place.tolist(), (start - begin[row[one]]).tolist(), length.tolist()):
             matches[r].append({"item_id": self.names[i], "item_start": p, "doc_start": w, "n_words": n})
-        return count, matches
+        return count, hits, matches
+
+    def _unlike(self, window, where, beside, own):
+        """The pairs of a find and an item's place of the same window whose
+        words ``beside`` them differ: (where, item, place, words of the window).
+        Both are sorted by that word, so pairs alike are skipped and not made."""
+        order = np.lexsort((beside, window))
+        window, where, code = window[order], where[order], (window * self.size + beside + 2)[order]
+        found = np.bincount(window, minlength=len(self.length))
+        begin = np.cumsum(found) - found
+        of = np.repeat(np.arange(len(self.length)), self.count)
+        use = np.flatnonzero(found[of] > 0)
+        of = of[use]
+        same = of * self.size + own[use] + 2
+        lo, hi = begin[of], begin[of] + found[of]
+        a, b = np.searchsorted(code, same, "left"), np.searchsorted(code, same, "right")
+        spot = np.concatenate([use, use])
+        at, n = np.concatenate([lo, b]), np.concatenate([a - lo, hi - b])
+        pick, spot = ranges(at, n), np.repeat(spot, n)
+        return where[pick], self.item[spot], self.place[spot], self.length[window[pick]]
 
 
 MATCH = "struct<item_id:string,item_start:long,doc_start:long,n_words:long>"
@@ -134,53 +163,67 @@ def _arrow_match():
                                ("n_words", pa.int64())]))
 
 
-def hit_words(matches: list[dict]) -> int:
-    """Words inside any match."""
-    total, end = 0, 0
-    for s, n in sorted((m["doc_start"], m["n_words"]) for m in matches):
-        total += max(0, s + n - max(s, end))
-        end = max(end, s + n)
-    return total
-
-
-def blocks(benchmark: DataFrame, window: int = WINDOW, size: int = BLOCK_BYTES):
-    """The benchmark's suffixes, a block of items at a time. An item whose id
-    is null takes part under the empty string; null texts have no words."""
+def blocks(benchmark: DataFrame, window: int = WINDOW, size: int = BLOCK_BYTES) -> list:
+    """The benchmark's suffixes, a broadcast for each block of items: files on
+    the machines' disks, so that neither the driver nor a task holds more than
+    one. An item whose id is null takes part under the empty string; null texts
+    have no words."""
+    sc = benchmark.sparkSession.sparkContext
     b = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("i"), text_bytes().alias("t"))
     total = b.agg(F.sum(F.length("t") + 64)).first()[0] or 0
     n = max(1, -(-total // size))
-    for k in range(n):
-        yield Suffixes([(r.i, bytes(r.t)) for r in b.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k).collect()], window)
+    return [sc.broadcast(Suffixes([(r.i, bytes(r.t)) for r in b.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k).collect()], window))
+            for k in range(n)]
 
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame, carry: tuple[str, ...] = (), window: int = WINDOW) -> DataFrame:
+def find_contamination(docs: DataFrame, benchmark: DataFrame, carry: tuple[str, ...] = (), window: int = WINDOW,
+                       size: int = BLOCK_BYTES, clean_only: bool = False) -> DataFrame:
     """``doc_id, carried, n_words, n_hit, matches, contaminated``, one row per
-    row of ``docs``; ``matches`` are the longest verbatim matches of ``window``
-    words at least (or of a whole shorter item), with their places in words.
+    row of ``docs`` (``clean_only``: per row without hits); ``matches`` are the
+    longest verbatim matches of ``window`` words at least (or of a whole shorter
+    item), with their places in words, one for each run of one alignment: texts
+    that repeat themselves N and M times have about N + M of them, not N x M.
 
     Null texts have no words. Rows are judged alone, so repeated rows, null or
-    repeated ids and ties change nothing; an empty benchmark hits nothing.
-    Columns named in ``carry`` come back in ``carried``; others are ignored.
+    repeated ids and ties change nothing; an empty benchmark hits nothing. A
+    very long text is a shard of its own. Columns named in ``carry`` come back
+    in ``carried``; others are ignored.
     """
     ship(docs.sparkSession)
-    d = arrow_sized(docs.select("doc_id", F.struct(*[F.col(c) for c in carry]).alias("carried") if carry
-                                else F.lit(0).alias("carried"), text_bytes().alias("_b"),
-                                F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_hit"),
-                                F.array().cast(f"array<{MATCH}>").alias("matches")))
-    schema = d.schema
-    for block in blocks(benchmark, window):
-        def search(batches, block=block):
-            for b in batches:
-                texts = b.column("_b")
-                count, found = block.search(texts[i].as_py() for i in range(b.num_rows))
-                found = [x + y for x, y in zip(b.column("matches").to_pylist(), found)]
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id"), b.column("carried"), texts, pa.array(count, pa.int64()),
-                     pa.array([hit_words(m) for m in found], pa.int64()), pa.array(found, _arrow_match())],
-                    names=b.schema.names)
-
-        d = d.mapInArrow(search, schema)
-    return d.drop("_b").withColumn("contaminated", F.col("n_hit") > 0)
+    d = docs.select("doc_id", F.struct(*[F.col(c) for c in carry]).alias("carried") if carry else F.lit(0).alias("carried"),
+                    *[F.col("text").alias("_t")][:"text" not in carry])                 # a carried text isn't sent twice
+    sent = blocks(benchmark, window, size)
+
+    def search(batches):
+        for b in batches:
+            texts = b.column("carried").field("text") if "text" in carry else b.column("_t")
+            n, hit, found = [], np.zeros(b.num_rows, np.int64), [[] for _ in range(b.num_rows)]
+            for block in sent:
+                own = block.value
+                n, hits, matches = own.search((x.as_py() or "").encode() for x in texts)
+                hit = np.maximum(hit, hits) if len(sent) == 1 else hit
+                found = [x + y for x, y in zip(found, matches)]
+                if len(sent) > 1:                                       # the next block takes this one's place
+                    vars(block).pop("_value", None)
+            if len(sent) > 1:
+                hit = np.array([hit_words(m) for m in found], np.int64)
+            out = pa.RecordBatch.from_arrays(
+                [b.column("doc_id"), b.column("carried"), pa.array(n, pa.int64()), pa.array(hit, pa.int64()), pa.array(found, _arrow_match())],
+                names=["doc_id", "carried", "n_words", "n_hit", "matches"])
+            yield out.filter(pa.array(hit == 0)) if clean_only else out
+
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in d.schema if f.name != "_t")
+    return (arrow_sized(d, size=ROW_BATCH_BYTES).mapInArrow(search, f"{kinds}, n_words long, n_hit long, matches array<{MATCH}>")
+            .withColumn("contaminated", F.col("n_hit") > 0))
+
+
+def hit_words(matches: list[dict]) -> int:
+    """Words inside any match."""
+    total, end = 0, 0
+    for s, n in sorted((m["doc_start"], m["n_words"]) for m in matches):
+        total += max(0, s + n - max(s, end))
+        end = max(end, s + n)
+    return total
 
 
 def op2(spark, sf_dir):

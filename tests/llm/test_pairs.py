@@ -163,3 +163,59 @@ def test_longest_matches_and_awkward_tables(spark):
     none = decontaminate.find_contamination(docs, bench.where("false"))
     assert none.where("contaminated").count() == 0 and none.count() == 4
     assert none.agg(F.sum("n_words")).first()[0] == 33 + 13 + 4
+
+
+def alignments(doc, items, window):
+    """Words hit and maximal runs of every alignment, by comparing word for word."""
+    hit, runs = set(), set()
+    for name, own in items:
+        least = min(window, len(own))
+        for d in range(-len(own), len(doc) + 1) if own else ():
+            first = None
+            for i in range(len(own) + 1):
+                same = i < len(own) and 0 <= d + i < len(doc) and doc[d + i] == own[i]
+                if same and first is None:
+                    first = i
+                elif not same and first is not None:
+                    if i - first >= least:
+                        runs.add((name, first, d + first, i - first))
+                        hit |= set(range(d + first, d + i))
+                    first = None
+    return len(hit), runs
+
+
+def test_matches_are_the_runs_of_every_alignment():
+    r = random.Random(2)
+    for _ in range(400):
+        text = lambda n: [r.choice("abcx"[:r.randint(1, 4)]) for _ in range(n)]
+        items = [(f"i{j}", text(r.choice([0, 1, 2, 3, 4, 6, 9, 12]))) for j in range(3)]
+        docs = [text(r.randint(0, 25)) for _ in range(3)]
+        _, hits, matches = decontaminate.Suffixes([(k, " ".join(v).encode()) for k, v in items], 3).search([" ".join(d).encode() for d in docs])
+        for d, h, m in zip(docs, hits, matches):
+            want_h, want = alignments(d, items, 3)
+            got = [(x["item_id"], x["item_start"], x["doc_start"], x["n_words"]) for x in m]
+            assert h == want_h and set(got) == want and len(got) == len(want)
+
+
+def test_texts_that_repeat_themselves_take_little_memory():
+    import tracemalloc
+
+    suffixes = decontaminate.Suffixes([("i", b"word " * 20_000)])
+    tracemalloc.start()
+    _, hits, matches = suffixes.search([b"word " * 20_000])
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert hits == [20_000] and len(matches[0]) < 40_000 and most < 1 << 28
+
+
+def test_blocks_of_the_benchmark_and_clean_rows(spark):
+    docs = spark.createDataFrame([(i, f"start {i} " + " ".join(f"w{j}" for j in range(i, i + 14)), "c") for i in range(0, 60, 3)]
+                                 + [(None, None, "c"), (5, "", "c"), (5, "w3 " * 3000, "c")], "doc_id long, text string, matches string")
+    bench = spark.createDataFrame([(f"i{k}", " ".join(f"w{j}" for j in range(k * 5, k * 5 + 11))) for k in range(9)] + [(None, None)],
+                                  "item_id string, text string")
+    one = decontaminate.find_contamination(docs, bench, carry=("matches",))
+    many = decontaminate.find_contamination(docs, bench, carry=("matches",), size=200)
+    key = lambda r: (str(r.doc_id), r.n_words, r.n_hit, sorted(map(tuple, r.matches)))
+    assert sorted(map(key, one.collect())) == sorted(map(key, many.collect())) and one.where("contaminated").count() > 0
+    clean = decontaminate.find_contamination(docs, bench, carry=("doc_id", "text"), clean_only=True)
+    assert clean.count() == one.where("not contaminated").count()
