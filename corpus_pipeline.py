@@ -54,8 +54,8 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with any window of a benchmark item go, the others stay as they are."""
-    found = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"), carry=tuple(docs.columns))
-    return found.where(~F.col("contaminated")).select("carried.*")
+    found = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"), carry=tuple(docs.columns), clean_only=True)
+    return found.select("carried.*")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
