@@ -36,3 +36,5 @@ SPLIT_BUCKETS = 10
 SPLIT_TRAIN_BUCKETS = 8
 SAMPLE_USER_MULT = 31
 SAMPLE_ITEM_MULT = 17
+TEST_PERCENT = 20                # share of each user's cells held out by the exact split
+SPLIT_DIGITS = 3                 # hexadecimal digits of a cell's hash that are counted before any is ranked

@@ -13,7 +13,7 @@ from kinrank.operators.skew import DEFAULT_HOT_THRESHOLD, split_join
 from kinrank.session import materialize
 from kinrank.schema import ITEM, NEIGHBOUR, PRED, RATING, SIM, USER
 
-from kinrank.constants import FRACTIONS, SAMPLE_ITEM_MULT, SAMPLE_USER_MULT
+from kinrank.constants import FRACTIONS, SAMPLE_ITEM_MULT, SAMPLE_USER_MULT, SPLIT_DIGITS, TEST_PERCENT
 
 
 def split(ratings: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -23,6 +23,32 @@ def split(ratings: DataFrame) -> tuple[DataFrame, DataFrame]:
     return ratings.where(flag), ratings.where(~flag)
 
 
+def split_exact(ratings: DataFrame, percent: int = TEST_PERCENT, seed: str = "") -> tuple[DataFrame, DataFrame]:
+    """Train and test rows with an exact share: of every user's n cells the
+    floor(n * percent / 100) of smallest hash are test (E1).
+
+    The hash is the md5 of seed, user and item, so another seed is another
+    split. No window runs over a whole user: cells are counted by (user, the
+    first SPLIT_DIGITS hexadecimal digits), running sums over those counts say
+    which prefixes are test as a whole, and only the one prefix where the quota
+    ends is ranked. One row per cell is expected."""
+    key = F.md5(F.concat_ws(":", F.lit(seed), F.col(USER).cast("string"), F.col(ITEM).cast("string")).cast("binary"))
+    rows = ratings.withColumn("_h", key).withColumn("_p", F.substring("_h", 1, SPLIT_DIGITS))
+    counts = rows.groupBy(USER, "_p").agg(F.count(F.lit(1)).alias("_c"))
+    upto = Window.partitionBy(USER).orderBy("_p")
+    counts = (counts.withColumn("_end", F.sum("_c").over(upto))
+              .withColumn("_n", F.sum("_c").over(Window.partitionBy(USER))))
+    quota = F.floor(F.col("_n") * F.lit(percent) / F.lit(100)).cast("long")
+    counts = counts.select(USER, "_p", (quota - (F.col("_end") - F.col("_c"))).alias("_left"), (F.col("_end") <= quota).alias("_whole"))
+    placed = rows.join(counts, [USER, "_p"])
+    edge = placed.where((F.col("_left") > 0) & ~F.col("_whole"))
+    edge = edge.withColumn("_r", F.row_number().over(Window.partitionBy(USER, "_p").orderBy("_h", ITEM)))
+    edge = edge.withColumn("_t", F.col("_r") <= F.col("_left")).drop("_r")
+    rest = placed.where((F.col("_left") <= 0) | F.col("_whole")).withColumn("_t", F.col("_whole"))
+    both = materialize(rest.unionByName(edge).select(*ratings.columns, "_t"))
+    return both.where(~F.col("_t")).drop("_t"), both.where("_t").drop("_t")
+
+
 def rmse(preds: DataFrame, truth: DataFrame, pred_col: str = PRED) -> DataFrame:
     """RMSE over the predicted cells that occur in ``truth`` (E3):
     ``hits, rmse`` (NULL rmse when nothing hits)."""

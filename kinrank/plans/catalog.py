@@ -9,18 +9,19 @@ k = 10 raters, ALS rank 6, lambda 0.001, 20 iterations, seed 42.
 
 from __future__ import annotations
 
+import uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinrank.functions.columns import round6
-from kinrank.operators import centering, evaluate, factors, nbcf, neighbours, predict, quality
+from kinrank.operators import centering, evaluate, factors, nbcf, neighbours, predict, profiles, quality
 from kinrank.operators.pairs import co_rated_counts
 from kinrank.operators.similarity import mirror, similarity
 from kinrank.operators.threshold import similar_above
 from kinrank.schema import ITEM, NEIGHBOUR, PRED, RATING, SIM, USER
-from kinrank.session import materialize
+from kinrank.session import ensure_checkpoint_dir, materialize
 from kinrank.sources import ratings as src
 
 from kinrank.constants import (ALS_ITER, ALS_RANK, ALS_REG, CLIP_HIGH, CLIP_LOW, DEMO_THRESHOLD, K_RATERS,
@@ -69,6 +70,69 @@ def q_ratings_load(spark, d):
     return orders_once(spark, d)
 
 
+def _shared(spark, name):
+    """A new folder beside the checkpoints."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@register("ratings_csv")
+def q_ratings_csv(spark, d):
+    """The orders form written as CSV and read with the fixed schema."""
+    return src.read_ratings_csv(spark, src.write_ratings_csv(orders_once(spark, d), _shared(spark, "ratings-csv")))
+
+
+@register("ratings_csv_inferred")
+def q_ratings_csv_inferred(spark, d):
+    return src.read_ratings_csv(spark, src.write_ratings_csv(orders_once(spark, d), _shared(spark, "ratings-csv")), infer_schema=True)
+
+
+@register("ratings_tsv")
+def q_ratings_tsv(spark, d):
+    return src.read_ratings_tsv(spark, src.write_ratings_tsv(orders_once(spark, d), _shared(spark, "ratings-tsv")))
+
+
+@register("split_files")
+def q_split_files(spark, d):
+    """Train and test as files of their own, read back and told apart."""
+    sides = [src.read_ratings_tsv(spark, src.write_ratings_tsv(x, _shared(spark, name))).withColumn("side", F.lit(name))
+             for x, name in zip(orders_split(spark, d), ("train", "test"))]
+    return sides[0].unionByName(sides[1])
+
+
+@register("split_exact_train")
+def q_split_exact_train(spark, d):
+    return evaluate.split_exact(orders_once(spark, d))[0]
+
+
+@register("split_exact_test")
+def q_split_exact_test(spark, d):
+    return evaluate.split_exact(orders_once(spark, d))[1]
+
+
+def _profile_chunks(spark, d, entity, through):
+    """Chunks of 64 positions, written as text so that any engine can compare them."""
+    out = profiles.profile_chunks(orders_split(spark, d)[0], entity, through, chunk=64)
+    text = lambda c: F.array_join(F.transform(c, lambda v: v.cast("bigint").cast("string")), ",")
+    return out.select(entity, "chunk", "n_ratings", text("ids").alias("ids"), text("ratings").alias("ratings"))
+
+
+@register("user_profile_chunks")
+def q_user_profile_chunks(spark, d):
+    return _profile_chunks(spark, d, USER, ITEM)
+
+
+@register("item_profile_chunks")
+def q_item_profile_chunks(spark, d):
+    return _profile_chunks(spark, d, ITEM, USER)
+
+
+@register("similarity_by_function")
+def q_similarity_by_function(spark, d):
+    """A measure given as a function (M7): overlap similarity, drawn to 0 where norms are small."""
+    measure = lambda c: c["sum_xy"] / (F.lit(1.0) + F.sqrt(c["sum_xx"]) * F.sqrt(c["sum_yy"]))
+    return similarity(orders_split(spark, d)[0], measure).withColumn("similarity", round6("similarity"))
+
+
 @register("utility_matrix")
 def q_utility_matrix(spark, d):
     return src.utility_matrix(src.purchase_events(spark, d), policy="sum")
@@ -292,6 +356,12 @@ def q_unrated_items(spark, d):
     return predict.unrated_candidates(nb, train)
 
 
+@register("unrated_gaps")
+def q_unrated_gaps(spark, d):
+    """Every unrated item of the catalogue for every user, a row a run of them."""
+    return profiles.unrated_gaps(orders_split(spark, d)[0])
+
+
 @register("user_history")
 def q_user_history(spark, d):
     train, test = orders_split(spark, d)

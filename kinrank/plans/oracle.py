@@ -15,7 +15,7 @@ from kinrank.constants import (ALS_REG, BIASED_MAX_ITEMS, CLIP_HIGH, CLIP_LOW, D
                                KNN_EPSILON, N_NEIGHBOURS, N_RECOMMEND, PEARSON_MIN_COMMON,
                                PEARSON_MIN_STD, SAMPLE_ITEM_MULT, SAMPLE_USER_MULT, SPLIT_BUCKETS,
                                SPLIT_ITEM_MULT, SPLIT_TRAIN_BUCKETS, SPLIT_USER_MULT, SWEEP,
-                               THRESHOLD, TOP)
+                               TEST_PERCENT, THRESHOLD, TOP)
 
 D = "CAST({} AS DOUBLE)".format
 
@@ -511,6 +511,46 @@ def _als_loss(i, x, w):
         FROM cent c JOIN {x} x ON x.user_id = c.user_id JOIN {w} w ON w.item_id = c.item_id) o, {gram(x)} x, {gram(w)} w"""
 
 
+for _k in ("ratings_csv", "ratings_csv_inferred", "ratings_tsv"):
+    SQL[_k] = SQL["ratings_load"]
+
+SQL["split_files"] = f"""{ORD}
+SELECT user_id, item_id, rating, 'train' AS side FROM train UNION ALL SELECT user_id, item_id, rating, 'test' AS side FROM test"""
+
+_EXACT = f"""{W}{R_ORDERS},
+h AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY md5(':' || CAST(user_id AS VARCHAR) || ':' || CAST(item_id AS VARCHAR)), item_id) AS r,
+  count(*) OVER (PARTITION BY user_id) AS n FROM ratings)
+SELECT user_id, item_id, rating FROM h WHERE r """
+SQL["split_exact_train"] = f"{_EXACT}> n * {TEST_PERCENT} // 100"
+SQL["split_exact_test"] = f"{_EXACT}<= n * {TEST_PERCENT} // 100"
+
+
+def _chunks(ent, oth):
+    return f"""{ORD},
+cat AS (SELECT {oth}, row_number() OVER (ORDER BY {oth}) AS pos FROM (SELECT DISTINCT {oth} FROM train) x)
+SELECT {ent}, CAST((pos - 1) // 64 AS BIGINT) AS chunk, COUNT(*) AS n_ratings,
+  string_agg(CAST(t.{oth} AS VARCHAR), ',' ORDER BY t.{oth}) AS ids,
+  string_agg(CAST(CAST(rating AS BIGINT) AS VARCHAR), ',' ORDER BY t.{oth}) AS ratings
+FROM train t JOIN cat ON cat.{oth} = t.{oth} GROUP BY {ent}, (pos - 1) // 64"""
+
+
+SQL["user_profile_chunks"] = _chunks("user_id", "item_id")
+SQL["item_profile_chunks"] = _chunks("item_id", "user_id")
+
+SQL["unrated_gaps"] = f"""{ORD},
+cat AS (SELECT item_id, row_number() OVER (ORDER BY item_id) AS pos FROM (SELECT DISTINCT item_id FROM train) x),
+p AS (SELECT t.user_id, cat.pos FROM train t JOIN cat ON cat.item_id = t.item_id
+  UNION ALL SELECT DISTINCT user_id, (SELECT count(*) + 1 FROM cat) FROM train),
+g AS (SELECT user_id, coalesce(lag(pos) OVER (PARTITION BY user_id ORDER BY pos), 0) + 1 AS f, pos - 1 AS l FROM p)
+SELECT g.user_id, a.item_id AS first_item_id, b.item_id AS last_item_id, CAST(l - f + 1 AS BIGINT) AS n_items
+FROM g JOIN cat a ON a.pos = g.f JOIN cat b ON b.pos = g.l WHERE l >= f"""
+
+SQL["similarity_by_function"] = f"""{ORD},
+{stats()}
+SELECT a.user_id, b.user_id AS neighbour_id, COUNT(*) AS n_common,
+  round(SUM(a.dev * b.dev) / (1.0 + sqrt(SUM(a.dev * a.dev)) * sqrt(SUM(b.dev * b.dev))), 6) AS similarity
+FROM cent a JOIN cent b ON a.item_id = b.item_id AND a.user_id < b.user_id GROUP BY a.user_id, b.user_id"""
+
 SQL["als_loss_trace_rank2"] = f"""{ORD},
 {stats()},
 {_als_start('user_id', 'x0')},

@@ -9,4 +9,6 @@ from kinrank.sources.ratings import (  # noqa: F401
     read_ratings_csv,
     read_ratings_tsv,
     utility_matrix,
+    write_ratings_csv,
+    write_ratings_tsv,
 )

@@ -37,6 +37,20 @@ def read_ratings_tsv(spark: SparkSession, path: str) -> DataFrame:
     return canonical(df)
 
 
+def write_ratings_csv(ratings: DataFrame, path: str) -> str:
+    """Ratings as the CSV that ``read_ratings_csv`` reads: index, user, item,
+    rating with a header in every part file."""
+    (ratings.select(F.monotonically_increasing_id().alias("index"), F.col(USER).alias("user"), F.col(ITEM).alias("item"), F.col(RATING).alias("rating"))
+     .write.option("header", True).csv(path))
+    return path
+
+
+def write_ratings_tsv(ratings: DataFrame, path: str) -> str:
+    """Ratings as the headerless TSV that ``read_ratings_tsv`` reads (no time: 0)."""
+    ratings.select(USER, ITEM, RATING, F.lit(0).cast("long").alias("t")).write.option("sep", "\t").option("header", False).csv(path)
+    return path
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
