@@ -13,7 +13,7 @@ from kinrank.session import materialize
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 BATCH_BYTES = 32 << 20                # bytes that an Arrow batch holds before it ends
-ROW_BATCH_BYTES = 8 << 20             # the same for operators that judge each row alone
+ROW_BATCH_BYTES = 4 << 20             # the same for operators that judge each row alone
 GROUP_BYTES = 1 << 21                 # bytes of text that a task's vector code works on at a time
 
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kinrank.llm.common import arrow_sized, groups, materialize, ship, text_bytes, values
+from kinrank.llm.common import ROW_BATCH_BYTES, arrow_sized, groups, materialize, ship, text_bytes, values
 
 SIZE = 2048
 END = 0
@@ -179,7 +179,7 @@ def pieces_of(docs: DataFrame, path: str, size: int = SIZE, with_ids: bool = Tru
                 yield pa.RecordBatch.from_arrays(cols, names=names)
 
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
-    return arrow_sized(docs.select("doc_id", text_bytes().alias("_b"))).mapInArrow(run, schema)
+    return arrow_sized(docs.select("doc_id", text_bytes().alias("_b")), size=ROW_BATCH_BYTES).mapInArrow(run, schema)
 
 
 def pack(pieces: DataFrame, size: int = SIZE) -> DataFrame:

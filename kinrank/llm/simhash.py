@@ -23,13 +23,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinrank.llm.common import arrow_sized, materialize, ship, signed, text_bytes
+from kinrank.llm.common import ROW_BATCH_BYTES, arrow_sized, materialize, ship, signed, text_bytes
 
 SHINGLE = 3
 BITS = 2
 SEED = 42
 LEAF = 8192
 STEP = 2
+HOP = 4                               # bits that node pairs walk down at a time
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
@@ -62,13 +63,14 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", shingle: int = SHINGLE
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(signed(fp))], names=["doc_id", "fp"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return (arrow_sized(docs.select(F.col(id_col).alias("doc_id"), text_bytes().alias("_b")))
+    return (arrow_sized(docs.select(F.col(id_col).alias("doc_id"), text_bytes().alias("_b")), size=ROW_BATCH_BYTES)
             .mapInArrow(run, f"doc_id {kind}, fp long"))
 
 
 def _prefix(col, depth: int):
-    """The first ``depth`` bits of a fingerprint, the rest zero."""
-    return F.lit(0).cast("long") if depth == 0 else F.col(col).bitwiseAND(F.lit(-1 << (64 - depth)))
+    """The first ``depth`` bits of a fingerprint, the rest zero. Never a literal:
+    a join on one would become a nested loop."""
+    return F.col(col).bitwiseAND(F.lit(-1 << (64 - depth) if depth else 0).cast("long"))
 
 
 def leaves(points: DataFrame, leaf: int = LEAF) -> DataFrame:
@@ -95,10 +97,13 @@ def leaves(points: DataFrame, leaf: int = LEAF) -> DataFrame:
 
 def node_pairs(nodes: DataFrame, bits: int = BITS) -> DataFrame:
     """``a, da, b, db``: pairs of leaves (a <= b) whose prefixes differ in at
-    most ``bits`` bits, found by walking the trie from the root in pairs."""
-    depths = sorted(r["depth"] for r in nodes.select("depth").distinct().collect())          # 33 at most
+    most ``bits`` bits, found by walking the trie from the root in pairs,
+    ``HOP`` bits at a time, so that no step makes all pairs of many nodes."""
+    own = [r["depth"] for r in nodes.select("depth").distinct().collect()]                   # 33 at most
+    depths = sorted({*own, *range(HOP, max(own, default=0), HOP)})
     zero = F.lit(0).cast("long")
-    pairs = nodes.sparkSession.range(1).select(zero.alias("a"), F.lit(0).alias("da"), zero.alias("b"), F.lit(0).alias("db"))
+    root = nodes.select(_prefix("node", 0).alias("a"), F.least("depth", F.lit(0)).alias("da")).distinct()
+    pairs = root.select("a", "da", F.col("a").alias("b"), F.col("da").alias("db"))
     last = 0
     for depth in depths:
         # children of every node so far; a node's parent is its prefix, a leaf above is its own

@@ -219,3 +219,22 @@ def test_blocks_of_the_benchmark_and_clean_rows(spark):
     assert sorted(map(key, one.collect())) == sorted(map(key, many.collect())) and one.where("contaminated").count() > 0
     clean = decontaminate.find_contamination(docs, bench, carry=("doc_id", "text"), clean_only=True)
     assert clean.count() == one.where("not contaminated").count()
+
+
+def test_node_pairs_have_no_nested_loop(spark):
+    r = np.random.default_rng(4)
+    fps = spark.createDataFrame([(int(x),) for x in r.integers(-2**63, 2**63 - 1, 3000)], "fp long")
+    at = simhash.leaves(fps, 20)
+    nodes = at.select("node", "depth").distinct().cache()
+    seen = []
+    keep = simhash.materialize
+    simhash.materialize = lambda df: seen.append(df._jdf.queryExecution().executedPlan().toString()) or keep(df)
+    try:
+        pairs = [tuple(x) for x in simhash.node_pairs(nodes).collect()]
+    finally:
+        simhash.materialize = keep
+    assert seen and not any("NestedLoop" in p or "CartesianProduct" in p for p in seen)
+    own = [tuple(x) for x in nodes.collect()]
+    near = lambda a, da, b, db: bin(((a ^ b) & (2**64 - 1)) >> (64 - min(da, db))).count("1") <= 2 if min(da, db) else True
+    want = {(a, da, b, db) for a, da in own for b, db in own if a <= b and near(a, da, b, db)}
+    assert set(pairs) == want
