@@ -23,7 +23,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from kinrank.operators import neighbours, predict  # noqa: E402
-from kinrank.operators.similarity import similarity  # noqa: E402
+from kinrank.operators.threshold import similar_above  # noqa: E402
 from kinrank.plans import catalog  # noqa: E402
 from kinrank.session import build_session, materialize  # noqa: E402
 
@@ -32,7 +32,7 @@ def chain_events(spark, d):
     """The flagship chain on the events form: overlap similarity -> top 10
     over 0.5 -> predictions -> top 5 unrated items."""
     train, test = catalog.events_split(spark, d)
-    sims = similarity(train, "overlap")
+    sims = similar_above(train, catalog.THRESHOLD, "overlap")
     nb = materialize(neighbours.top_neighbours(sims, catalog.N_NEIGHBOURS, catalog.THRESHOLD,
                                                test.select("user_id")))
     preds = predict.exclude_rated(predict.predict_from_neighbours(nb, train), train)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinrank.functions.columns import round6
-from kinrank.operators import centering, evaluate, factors, nbcf, neighbours, predict, profiles, quality
+from kinrank.operators import centering, evaluate, factors, nbcf, neighbours, predict, profiles, quality, store
 from kinrank.operators.pairs import co_rated_counts
 from kinrank.operators.similarity import mirror, similarity
 from kinrank.operators.threshold import similar_above
@@ -394,6 +394,15 @@ def q_recommend_single_user(spark, d):
     return predict.top_n(preds, TOP)
 
 
+@register("recommend_stored")
+def q_recommend_stored(spark, d):
+    """The flagship recommendation from a model saved as bucketed tables."""
+    train, _, nb = _overlap_neighbours(spark, d)
+    name = f"model_{uuid.uuid4().hex}"
+    model = store.save_model(nb, train, name, _shared(spark, "model"))
+    return model.recommend(nb.select(USER), TOP)
+
+
 @register("recommend_for_vector")
 def q_recommend_for_vector(spark, d):
     train, test = orders_split(spark, d)

@@ -514,6 +514,8 @@ def _als_loss(i, x, w):
 for _k in ("ratings_csv", "ratings_csv_inferred", "ratings_tsv"):
     SQL[_k] = SQL["ratings_load"]
 
+SQL["recommend_stored"] = SQL["recommend_top_n"]
+
 SQL["split_files"] = f"""{ORD}
 SELECT user_id, item_id, rating, 'train' AS side FROM train UNION ALL SELECT user_id, item_id, rating, 'test' AS side FROM test"""
 

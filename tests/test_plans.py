@@ -6,8 +6,6 @@ import __spark_entry__ as E
 from kinrank import session
 
 SF = "/root/testdata/sf0.001"
-# Spark ML's recommendation crosses user blocks with item blocks internally.
-ALS_RECOMMEND = {"als_recommend", "als_recommend_counts"}
 CORE = sorted(k for k in E.queries() if not k.startswith("op") and k != "pipeline")
 
 
@@ -22,7 +20,7 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("key", sorted(set(CORE) - ALS_RECOMMEND))
+@pytest.mark.parametrize("key", CORE)
 def test_no_cartesian_products(spark, key):
     plan = _plan(E.queries()[key](spark, SF))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, key
