@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinrank.functions.columns import round6
-from kinrank.operators import centering, evaluate, factors, nbcf, neighbours, predict, profiles, quality, store
+from kinrank.operators import centering, evaluate, factors, incremental, nbcf, neighbours, predict, profiles, quality, store
 from kinrank.operators.pairs import co_rated_counts
 from kinrank.operators.similarity import mirror, similarity
 from kinrank.operators.threshold import similar_above
@@ -299,6 +299,17 @@ def q_top_neighbours(spark, d):
     return _overlap_neighbours(spark, d)[2].select(USER, NEIGHBOUR, SIM, "rank")
 
 
+@register("similarity_incremental")
+def q_similarity_incremental(spark, d):
+    """Overlap similarities of the training rows, of which a tenth came as a
+    batch and was folded into the sums of the others."""
+    train = orders_split(spark, d)[0]
+    late = (F.col(USER) + F.col(ITEM)) % 10 == 0
+    old = train.where(~late)
+    sums, users = incremental.fold_in(incremental.pair_sums(old), incremental.user_sums(old), old, train.where(late))
+    return incremental.similarity_from(sums, users)
+
+
 @register("similarity_above")
 def q_similarity_above(spark, d):
     """Events-form overlap similarities over the threshold, without a row for

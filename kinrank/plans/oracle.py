@@ -514,6 +514,7 @@ def _als_loss(i, x, w):
 for _k in ("ratings_csv", "ratings_csv_inferred", "ratings_tsv"):
     SQL[_k] = SQL["ratings_load"]
 
+SQL["similarity_incremental"] = SQL["similarity_overlap"]
 SQL["recommend_stored"] = SQL["recommend_top_n"]
 
 SQL["split_files"] = f"""{ORD}
