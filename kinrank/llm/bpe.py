@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from kinrank.llm.common import ROW_BATCH_BYTES, arrow_sized, ship
 
-KNOWN = 300_000                       # pieces whose ids a worker keeps
+KNOWN = 600_000                       # pieces whose ids a worker keeps
 PAIRS = 1_000_000                     # pairs whose compatibility a worker keeps
 LONG_TEXT = 1 << 20                   # characters of a text whose pieces are held at a time
 

@@ -133,7 +133,7 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Model:
     rows reach THRESHOLD, each by the fit that left it out, as are ones (or few more).
     """
     y = np.array(labels, np.int64)
-    ones = (y.sum() + 0.5) / (len(y) + 1.0)
+    ones = (y.sum() + 0.5) / (len(y) + 2.0)                              # under THRESHOLD where nothing is labelled
     bias = float(np.log(ones / (1 - ones)))
     if not len(y) or y.min() == y.max():
         return Model(np.zeros(BUCKETS, np.float32), bias)
