@@ -45,10 +45,10 @@ class Shape:
     def __init__(self, ratings: DataFrame, entity: str, through: str):
         m = F.col("m").cast("double")
         of = lambda c: ratings.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("m"))
-        t = of(through).agg(F.sum(m * m).alias("pairs"), F.max("m").alias("most")).first()
+        t = of(through).agg(F.sum(m * m).alias("pairs"), F.max("m").alias("most"), F.count(F.lit(1)).alias("n")).first()
         e = of(entity).agg(F.count(F.lit(1)).alias("n"), F.max("m").alias("most")).first()
         self.pairs, self.most_raters = t["pairs"] or 0.0, t["most"] or 0
-        self.entities, self.most_keys = e["n"], e["most"] or 0
+        self.entities, self.most_keys, self.keys = e["n"], e["most"] or 0, t["n"]
 
     def fits(self) -> bool:
         """Whether two entities share less than one key on average."""
@@ -105,16 +105,21 @@ def unpacked(lists: pa.ChunkedArray):
     return np.concatenate(row), np.concatenate(v), np.concatenate(y)
 
 
+def packed_lists(rows: DataFrame, by: str, member: str, value: str, most: int) -> DataFrame:
+    """``_t, _c, _b``: the ``member`` and ``value`` of every ``by``, in packed lists."""
+    base = rows.select(F.col(member).cast("long").alias("_u"), F.col(by).cast("long").alias("_t"),
+                       F.coalesce(F.col(value).cast("double"), F.lit(float("nan"))).alias("_x")).where(F.col("_u").isNotNull())
+    return _lists(base, most).mapInArrow(_packed, "_t long, _c int, _b binary")
+
+
 def gathered(own: DataFrame, rows: DataFrame, most: int, elements: float, entity: str, member: str, through: str,
              value: str) -> DataFrame:
     """``_g, _u, .., _b``: every row of ``own`` with a packed list of the ``member``
     and ``value`` of the rows of its key, ``most`` of a key at most and about
     ``elements`` in all; in groups ``_g`` by ``entity``. Other columns of ``own`` stay."""
     spark = rows.sparkSession
-    base = rows.select(F.col(member).cast("long").alias("_u"), F.col(through).cast("long").alias("_t"),
-                       F.coalesce(F.col(value).cast("double"), F.lit(float("nan"))).alias("_x")).where(F.col("_u").isNotNull())
     n, groups = output_partitions(spark, int(elements)), int(max(parallelism(spark), -(-elements // PAIRS)))
-    lists = _lists(base, most).mapInArrow(_packed, "_t long, _c int, _b binary")
+    lists = packed_lists(rows, through, member, value, most)
     left = own.withColumn("_t", F.col(through).cast("long")).withColumn("_u", F.col(entity).cast("long")).where(F.col("_u").isNotNull())
     left = left.drop(entity, through)
     if most > DEFAULT_HOT_THRESHOLD:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kinrank.operators import gather
+from kinrank.operators import dense, gather
 from kinrank.operators.centering import centered, entity_stats
 from kinrank.operators.similarity import mirror, similarity
 from kinrank.schema import ITEM, NEIGHBOUR, RATING, SIM, USER
@@ -76,7 +76,8 @@ def nearest_neighbours(ratings: DataFrame, measure: str, n: int, threshold: floa
     """The rows of ``top_neighbours(similarity(ratings, measure), n, threshold,
     targets)``, or with ``n_entities`` of ``top_neighbours_all``, for ``overlap``
     and ``corated``. On sparse ratings no row is made of a pair (``gather``):
-    only the neighbours kept leave a task. Entities that may have very many
+    only the neighbours kept leave a task; nor on dense ratings of a small
+    catalogue (``dense``, also for ``cosine``). Entities that may have very many
     pairs, and dense ratings, go the plain way."""
     def ranked(sims, symmetric):
         if n_entities is None:
@@ -84,6 +85,8 @@ def nearest_neighbours(ratings: DataFrame, measure: str, n: int, threshold: floa
         return top_neighbours_all(sims, n_entities, n, targets, entity, symmetric_input=symmetric)
 
     shape = shape or gather.Shape(ratings, entity, through)
+    if n_entities is None and threshold is not None and threshold >= 0 and dense.fits(shape, measure):
+        return ranked(dense.similar(ratings, shape, measure, threshold, n, entity, through, targets), True)
     if not shape.fits():
         return ranked(similarity(ratings, measure, entity=entity, through=through), False)
     rows, value = (ratings, RATING) if measure == "corated" else (centered(ratings, entity, entity_stats(ratings, entity)), "dev")

@@ -8,6 +8,7 @@ ratings and adds up its pairs in arrays. Only pairs above the threshold leave
 it. A rating is copied once per group, so this is the cheaper way while ratings
 times groups stay below the pair rows; ``similar_above`` compares the two counts,
 taken in one small aggregate, and goes the plain way otherwise. Both are exact.
+A dense table over a small catalogue goes by products of matrices (``dense``).
 
 A group may hold an entity with a third of all ratings. Where a cell would hold
 more than ``CELL_ROWS`` of them, the items are dealt into parts too; such cells
@@ -27,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinrank.functions.columns import cosine_from_sums, overlap_from_sums
+from kinrank.operators import dense, gather
 from kinrank.operators.centering import centered, entity_stats
 from kinrank.operators.similarity import similarity
 from kinrank.schema import ITEM, NEIGHBOUR, SIM, USER
@@ -57,6 +59,10 @@ def similar_above(ratings: DataFrame, threshold: float, measure: str = "overlap"
     """
     if threshold < 0:
         raise ValueError("pairs that share nothing have similarity 0: the threshold must be 0 at least")
+    shape = gather.Shape(ratings, entity, through)
+    if cells is None and parts is None and dense.fits(shape, measure):
+        out = dense.similar(ratings, shape, measure, float(threshold), None, entity, through)
+        return out.where(F.col("n_common") >= F.lit(min_common))
     cost = work(ratings, entity, through, group)
     if cells is None:
         cells = measure in ("overlap", "cosine") and 2 * cost["rows"] * cost["groups"] < cost["pairs"]

@@ -323,8 +323,8 @@ def q_similarity_above_cosine(spark, d):
 
 @register("top_neighbours_events")
 def q_top_neighbours_events(spark, d):
-    sims = similar_above(events_split(spark, d)[0], THRESHOLD, "overlap")
-    return neighbours.top_neighbours(sims, N_NEIGHBOURS).select(USER, NEIGHBOUR, SIM, "rank")
+    train = events_split(spark, d)[0]
+    return neighbours.nearest_neighbours(train, "overlap", N_NEIGHBOURS, THRESHOLD).select(USER, NEIGHBOUR, SIM, "rank")
 
 
 def _corated_all(spark, d, targets=None, n=N_NEIGHBOURS, ratings=None):
