@@ -4,10 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from kinrank.operators import dense, gather
+from kinrank.operators.nbcf import predict_knn
 from kinrank.operators.neighbours import nearest_neighbours, top_neighbours
 from kinrank.operators.similarity import similarity
 from kinrank.operators.threshold import similar_above
-from kinrank.schema import ITEM, RATING, SIM, USER
+from kinrank.schema import ITEM, PRED, RATING, SIM, USER
 
 
 def crowded(spark, users=300, items=40):
@@ -41,3 +42,17 @@ def test_dense_work_is_taken_in_bounded_cells(spark):
     """A user's ratings are one packed row, copied to cells; no rating is, and no row is made of a pair."""
     plan = similar_above(crowded(spark), 0.5)._jdf.queryExecution().executedPlan().toString()
     assert "FlatMapGroupsInPandas" in plan and "_b#" in plan
+
+
+@pytest.mark.parametrize("bounds", [{}, {"GROUP": 40, "LEAST": 40, "SPAN": 3, "STEP": 16}])
+def test_nearest_raters_of_a_cell_are_those_of_all_pairs(spark, monkeypatch, bounds):
+    """Also with copies of users, whose nearest neighbours all lack what they lack."""
+    for k, v in bounds.items():
+        monkeypatch.setattr(dense, k, v)
+    some = crowded(spark, 60)
+    ratings = some.unionByName(some.withColumn(USER, F.col(USER) + 1)).unionByName(some.withColumn(USER, F.col(USER) + 2)).localCheckpoint()
+    cells = ratings.select(USER).distinct().crossJoin(ratings.select(ITEM).distinct()).join(ratings, [USER, ITEM], "left_anti")
+    more = spark.createDataFrame([(-7, 77), (99, 0), (99, 77)], f"{USER} long, {ITEM} long")
+    cells = cells.unionByName(more).withColumn(RATING, F.lit(1.0)).localCheckpoint()
+    both = [sorted(tuple(r) for r in predict_knn(cells, ratings, sims, 10).select(USER, ITEM, PRED).collect()) for sims in ("cosine", similarity(ratings, "cosine"))]
+    assert both[0] == both[1] and len(both[0]) == cells.count()
