@@ -5,9 +5,10 @@ from pyspark.sql import functions as F
 
 from kinrank.operators import gather
 from kinrank.operators.evaluate import split
+from kinrank.operators.nbcf import predict_knn
 from kinrank.operators.neighbours import nearest_neighbours, top_neighbours, top_neighbours_all
 from kinrank.operators.similarity import similarity
-from kinrank.schema import ITEM, RATING, USER
+from kinrank.schema import ITEM, PRED, RATING, USER
 
 
 def sparse(spark, users=400, items=900, each=12):
@@ -49,3 +50,18 @@ def test_no_pair_is_shuffled(spark):
 def test_dense_ratings_go_the_plain_way(spark, golden):
     assert not gather.Shape(golden, USER, ITEM).fits()
     assert rows_of(nearest_neighbours(golden, "overlap", 2, 0.0)) == rows_of(top_neighbours(similarity(golden, "overlap"), 2, 0.0))
+
+
+@pytest.mark.parametrize("bounds", [{}, {"LIST": 16, "PAIRS": 3000}, {"HEAVY": 20_000}])
+def test_nearest_raters_of_sparse_cells_are_those_of_all_pairs(spark, monkeypatch, bounds):
+    """model_comparison's step: also cells of unknown users and items, and of users in no list."""
+    for k, v in bounds.items():
+        monkeypatch.setattr(gather, k, v)
+    ratings, cells = split(sparse(spark))
+    more = spark.createDataFrame([(-7, 77_000), (99, 5), (99, 77_000), (None, 5), (99, None)], f"{USER} long, {ITEM} long")
+    cells = cells.unionByName(more.withColumn(RATING, F.lit(1.0))).localCheckpoint()
+    rows = [predict_knn(cells, ratings, sims, 10).select(USER, ITEM, PRED) for sims in ("cosine", similarity(ratings, "cosine"))]
+    plan = rows[0]._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapGroupsInArrow" in plan and ("Window" in plan) == ("HEAVY" in bounds)
+    got, want = (sorted(map(str, r.collect())) for r in rows)
+    assert got == want and len(got) == cells.count()
