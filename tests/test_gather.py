@@ -1,9 +1,11 @@
 """Neighbours found where an entity's lists meet (gather): the rows of the plain way."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from kinrank.operators import gather
+from kinrank.functions.columns import round6
+from kinrank.operators import gather, predict
 from kinrank.operators.evaluate import split
 from kinrank.operators.nbcf import predict_knn
 from kinrank.operators.neighbours import nearest_neighbours, top_neighbours, top_neighbours_all
@@ -65,3 +67,29 @@ def test_nearest_raters_of_sparse_cells_are_those_of_all_pairs(spark, monkeypatc
     assert "FlatMapGroupsInArrow" in plan and ("Window" in plan) == ("HEAVY" in bounds)
     got, want = (sorted(map(str, r.collect())) for r in rows)
     assert got == want and len(got) == cells.count()
+
+
+@pytest.mark.parametrize("bounds", [{}, {"LIST": 16, "PAIRS": 3000}, {"HEAVY": 100}])
+def test_recommendations_are_those_of_all_predictions(spark, monkeypatch, bounds):
+    """recommend_top_n's, recommend_with_history's: many equal predictions, a rating that is null."""
+    for k, v in bounds.items():
+        monkeypatch.setattr(gather, k, v)
+    train, test = split(sparse(spark))
+    train = train.unionByName(spark.createDataFrame([(33 * 10_000_000_000 - 7, 6_000, None)], train.schema)).localCheckpoint()
+    nb = nearest_neighbours(train, "overlap", 10, 0.3).localCheckpoint()
+    hist = predict.history(test, train, test.select(USER))
+    for rated, items in ((train, None), (hist, test), (None, test)):
+        preds = predict.predict_from_neighbours(nb, train, items=items)
+        want = predict.top_n(predict.exclude_rated(preds, rated) if rated is not None else preds, 5)
+        got = predict.recommend(nb, train, 5, rated, items=items)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.select(*got.columns).collect()))
+    plan = predict.recommend(nb, train, 5, train)._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapGroupsInArrow" in plan and ("Window" in plan) == ("HEAVY" in bounds)
+
+
+def test_rounding_in_arrays_is_that_of_columns(spark):
+    x = np.random.default_rng(1).normal(0, 3, 20_000)
+    x = np.concatenate([x, np.round(x * 2 ** 7) / 2 ** 7, np.round(x, 6) + 5e-7, [0.0, -0.0, 1 / 128, -1 / 128]])
+    rows = spark.createDataFrame([(float(v),) for v in x], "x double")
+    want = np.array([r[0] for r in rows.select(round6("x").alias("x")).collect()])
+    assert (gather.rounded(x) == want).all()
