@@ -9,7 +9,7 @@ from kinrank.operators import gather, predict
 from kinrank.operators.evaluate import split
 from kinrank.operators.nbcf import predict_knn
 from kinrank.operators.neighbours import nearest_neighbours, top_neighbours, top_neighbours_all
-from kinrank.operators.similarity import similarity
+from kinrank.operators.similarity import all_pairs, similarity
 from kinrank.schema import ITEM, PRED, RATING, USER
 
 
@@ -93,3 +93,18 @@ def test_rounding_in_arrays_is_that_of_columns(spark):
     rows = spark.createDataFrame([(float(v),) for v in x], "x double")
     want = np.array([r[0] for r in rows.select(round6("x").alias("x")).collect()])
     assert (gather.rounded(x) == want).all()
+
+
+@pytest.mark.parametrize("bounds", [{}, {"LIST": 16, "PAIRS": 3000}, {"HEAVY": 20_000}])
+def test_all_pairs_are_those_of_the_plain_way(spark, monkeypatch, bounds):
+    """similarity_item_cosine's and similarity_symmetric's step, both sides, all measures."""
+    for k, v in bounds.items():
+        monkeypatch.setattr(gather, k, v)
+    ratings = sparse(spark)
+    ratings = ratings.unionByName(spark.createDataFrame([(10_000_000_000 - 7, 6_000, 2.5), (20_000_000_000 - 7, 6_000, 0.25)], ratings.schema)).localCheckpoint()
+    rows = lambda df: sorted((r[0], r[1], r["n_common"], round(r["similarity"], 9)) for r in df.collect())
+    for measure, sides in (("overlap", (USER, ITEM)), ("corated", (USER, ITEM)), ("cosine", (USER, ITEM)), ("cosine", (ITEM, USER))):
+        kw = dict(zip(("entity", "through"), sides))
+        assert rows(all_pairs(ratings, measure, **kw)) == rows(similarity(ratings, measure, **kw))
+    plan = all_pairs(ratings, "overlap")._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapGroupsInArrow" in plan and ("SortMergeJoin [_t" in plan) <= bool(bounds)
