@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kinrank.operators import dense, gather
-from kinrank.operators.nbcf import predict_knn
+from kinrank.operators.nbcf import predict_knn, recommend_knn
 from kinrank.operators.neighbours import nearest_neighbours, top_neighbours
 from kinrank.operators.similarity import similarity
 from kinrank.operators.threshold import similar_above
@@ -56,3 +56,17 @@ def test_nearest_raters_of_a_cell_are_those_of_all_pairs(spark, monkeypatch, bou
     cells = cells.unionByName(more).withColumn(RATING, F.lit(1.0)).localCheckpoint()
     both = [sorted(tuple(r) for r in predict_knn(cells, ratings, sims, 10).select(USER, ITEM, PRED).collect()) for sims in ("cosine", similarity(ratings, "cosine"))]
     assert both[0] == both[1] and len(both[0]) == cells.count()
+
+
+@pytest.mark.parametrize("k,bounds", [(3, {}), (10, {"GROUP": 40, "LEAST": 40, "SPAN": 3, "STEP": 16})])
+def test_dense_recommendations_are_those_of_all_pairs(spark, monkeypatch, k, bounds):
+    """recommend_nbcf's: some users are settled by their nearest neighbours, some are not."""
+    for name, v in bounds.items():
+        monkeypatch.setattr(dense, name, v)
+    ratings = crowded(spark, 150)
+    ratings = ratings.where((F.col(USER) != -7) | (F.col(ITEM) == 0)).localCheckpoint()
+    some = ratings.where(F.col(ITEM) == 0).select(USER)
+    for entities in (None, some):
+        both = [recommend_knn(ratings, sims, k, 5, entities=entities) for sims in ("cosine", similarity(ratings, "cosine"))]
+        got, want = (sorted(map(tuple, df.select(USER, ITEM, PRED, "rank").collect())) for df in both)
+        assert got == want and got
