@@ -37,3 +37,21 @@ def test_users_leave_and_no_cross_product(spark):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert mips.top_unrated(x, w.where("false"), rated, 2).count() == 0
     assert mips.top_unrated(x.where("false"), w, rated, 2).count() == 0
+
+
+def test_users_are_dealt_by_number_and_zero_factors_take_the_first_items(spark, monkeypatch):
+    scored = []
+    scorer = mips._scorer
+    monkeypatch.setattr(mips, "_scorer", lambda sent, n: scored.append(len(sent.value[0])) or scorer(sent, n))
+    monkeypatch.setattr(mips, "FIRST_CHUNK", 16)
+    monkeypatch.setattr(mips, "USERS", 4)
+    x = {u: [0.0, 0.0] if u % 10 == 0 else [1.0, u % 3 - 1.0] for u in range(60)}
+    w = {i: [8.0 / (1 + (i * 7) % 400), 1.0 / (1 + i)] for i in range(400)}
+    rated = {(u, i) for u in range(60) for i in range(400) if (u + i) % 9 == 0 or u == 10 and i < 90}
+    sp = lambda d, k: spark.createDataFrame(list(d.items()), f"{k} long, features array<double>")
+    out = mips.top_unrated(sp(x, "_u"), sp(w, "_i"), spark.createDataFrame(sorted(rated), "_u long, _i long"), 3)
+    assert sorted((t._u, t._i, t.rank) for t in out.collect()) == brute(x, w, rated, 3)
+    assert sum(scored) < 400                                             # nobody needs the whole catalogue
+    one = mips.top_unrated(sp(x, "_u"), sp(w, "_i").where("_i < 16"), spark.createDataFrame([(1, 2)], "_u long, _i long"), 3)
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan                                  # not as many tasks as their bytes fill
