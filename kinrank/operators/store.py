@@ -3,7 +3,9 @@
 Three tables, bucketed and sorted by user: neighbours, centred ratings and user
 means. A request reads the buckets of the users it names; to score, the few rows
 (user, neighbour) move to the neighbours' buckets, and the ratings are joined
-where they lie, without a shuffle of their own.
+where they lie, without a shuffle of their own. Recommendations are ranked where the
+packed lists of a user's neighbours meet (``predict.recommend``), so that no row is
+shuffled for a rating of a neighbour.
 """
 
 from __future__ import annotations
@@ -12,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinrank.functions.columns import round6
+from kinrank.operators import predict
 from kinrank.operators.centering import centered, entity_stats
-from kinrank.operators.predict import top_n
 from kinrank.schema import ITEM, NEIGHBOUR, PRED, RATING, SIM, USER
 
 BUCKETS = 64
@@ -66,4 +68,7 @@ class StoredModel:
 
     def recommend(self, users, n: int) -> DataFrame:
         """The best ``n`` unrated items of each user asked for."""
-        return top_n(self.predict(users).join(self._asked("ratings", users).select(USER, ITEM), [USER, ITEM], "left_anti"), n)
+        nb = self._asked("neighbours", users)
+        heard = nb.select(F.col(NEIGHBOUR).alias(USER)).distinct()
+        ratings = self.table("ratings").join(heard, USER, "left_semi")
+        return predict.recommend(nb, ratings, n, self._asked("ratings", users), stats=self.table("users"))

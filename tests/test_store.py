@@ -52,3 +52,16 @@ def test_ratings_stay_in_their_buckets(spark, fitted):
                 break
     assert above and "SortMergeJoin" in above[-1] and not any("Exchange" in x for x in above)
     assert re.search(r"SelectedBucketsCount: 1 out of 16", plan)
+
+
+def test_recommendations_shuffle_no_row_for_a_rating_of_a_neighbour(spark, fitted, monkeypatch):
+    train, nb, model = fitted
+    every = spark.createDataFrame(train.select("user_id").distinct().collect(), "user_id long")   # a cached frame's plan would show
+    got = model.recommend(every, 5)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "_ratings" in plan and not re.search(r"hashpartitioning\(user_id#\d+L?, item_id#", plan)
+    want = rows(got)
+    monkeypatch.setattr(predict.gather, "HEAVY", 60)                     # most users go the plain way
+    assert rows(model.recommend(every, 5)) == want
+    users = [r.user_id for r in every.orderBy("user_id").limit(3).collect()]
+    assert rows(model.recommend(users, 5)) == [t for t in want if t[0] in users]
