@@ -108,3 +108,23 @@ def test_all_pairs_are_those_of_the_plain_way(spark, monkeypatch, bounds):
         assert rows(all_pairs(ratings, measure, **kw)) == rows(similarity(ratings, measure, **kw))
     plan = all_pairs(ratings, "overlap")._jdf.queryExecution().executedPlan().toString()
     assert "FlatMapGroupsInArrow" in plan and ("SortMergeJoin [_t" in plan) <= bool(bounds)
+
+
+def test_sweep_makes_no_row_of_a_prediction_and_equals_the_plain_way(spark, monkeypatch):
+    from kinrank.operators import evaluate, gather
+    cells = [(u, i, float((u * 5 + i * 3 + u * i) % 5 + 1)) for u in range(40) for i in range(30) if (u * 11 + i * 7 + u * i) % 4]
+    ratings = spark.createDataFrame(cells, "user_id long, item_id long, rating double").cache()
+    train, test = evaluate.split(ratings)
+    neigh = spark.createDataFrame([(u, (u + 3 * r) % 40, (-1.0 if r == 4 else 1.0) / r, r) for u in range(40) for r in range(1, 7) if (u + r) % 5],
+                                  "user_id long, neighbour_id long, similarity double, rank int").cache()
+    for top, candidates in ((None, "unrated"), (2, "test_items"), (3, "unrated")):
+        sweep = lambda: evaluate.sweep(neigh, train, test, 2, 6, top=top, candidates=candidates)  # noqa: B023, E731
+        got = sweep()
+        assert "Window" not in got._jdf.queryExecution().optimizedPlan().toString()
+        light = sorted(map(tuple, got.collect()))
+        plain = evaluate._swept_plain(neigh, train, test, 2, 6, top, candidates, 4096)
+        want = {r["n"]: (r["hits"], r["rmse"]) for r in evaluate.rmse_of(plain, group=("n",)).collect()}
+        assert light == [(n, *want.get(n, (0, None))) for n in range(2, 7)] and any(h for _, h, _ in light)
+        with monkeypatch.context() as m:
+            m.setattr(gather, "HEAVY", 120)                              # some users go the plain way
+            assert sorted(map(tuple, sweep().collect())) == light
