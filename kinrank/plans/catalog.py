@@ -286,11 +286,13 @@ def q_similarity_symmetric(spark, d):
 
 
 # ---------------------------------------------------------------- neighbours
-def _overlap_neighbours(spark, d, threshold=THRESHOLD, n=N_NEIGHBOURS):
+def _overlap_neighbours(spark, d, threshold=THRESHOLD, n=N_NEIGHBOURS, everyone=False):
     """Fitted neighbourhood model: at most users x N rows, written once
-    (every prediction step and its hot-key check read it, not the pair join)."""
+    (every prediction step and its hot-key check read it, not the pair join).
+    Of the test users, or of ``everyone`` in train."""
     train, test = orders_split(spark, d)
-    return train, test, materialize(neighbours.nearest_neighbours(train, "overlap", n, threshold, targets=test.select(USER)))
+    targets = None if everyone else test.select(USER)
+    return train, test, materialize(neighbours.nearest_neighbours(train, "overlap", n, threshold, targets=targets))
 
 
 @register("top_neighbours")
@@ -384,9 +386,9 @@ def q_predict_uncentered(spark, d):
 
 @register("recommend_with_history")
 def q_recommend_with_history(spark, d):
-    train, test, nb = _overlap_neighbours(spark, d, DEMO_THRESHOLD)
-    hist = predict.history(test, train, test.select(USER))
-    return predict.recommend(nb, train, TOP, hist, items=test)
+    """For every user, also those without test ratings, whose history is their train rows."""
+    train, test, nb = _overlap_neighbours(spark, d, DEMO_THRESHOLD, everyone=True)
+    return predict.recommend(nb, train, TOP, predict.history(test, train), items=test)
 
 
 @register("recommend_single_user")

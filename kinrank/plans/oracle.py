@@ -405,7 +405,7 @@ GROUP BY nb.user_id, t.item_id HAVING SUM(nb.similarity) <> 0""",
     "recommend_with_history": f"""{ORD},
 {stats()},
 {overlap()},
-{neighbours(t=DEMO_THRESHOLD)},
+{neighbours(t=DEMO_THRESHOLD, targets=None)},
 {predict(item_filter='WHERE c.item_id IN (SELECT item_id FROM test)')},
 hist AS (SELECT user_id, item_id FROM test
          UNION ALL SELECT user_id, item_id FROM train WHERE user_id NOT IN (SELECT user_id FROM test)),
