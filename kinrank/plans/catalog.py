@@ -432,8 +432,7 @@ def q_recommend_for_vector(spark, d):
 @register("rmse")
 def q_rmse(spark, d):
     train, test, nb = _overlap_neighbours(spark, d)
-    preds = predict.top_n(predict.predict_from_neighbours(nb, train, items=test), TOP)
-    return evaluate.rmse(preds, test)
+    return evaluate.rmse(predict.recommend(nb, train, TOP, items=test), test)
 
 
 def _sweep(spark, d, ratings=None):
