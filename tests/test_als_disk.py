@@ -40,3 +40,13 @@ def test_the_solver_keeps_few_iterations(spark, monkeypatch):
     seen = train.withColumn("rating", F.col("rating") + F.lit(0) * F.monotonically_increasing_id())
     plan = factors.loss(fm, seen)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("monotonically_increasing_id") == 2  # once for the means, once for the cells
+
+
+def test_each_models_row_is_kept_before_the_other_is_made(spark, monkeypatch):
+    """model_comparison: what the two models shuffle isn't on disk together."""
+    from kinrank.plans import catalog
+    kept, keep = [], catalog.materialize
+    monkeypatch.setattr(catalog, "materialize", lambda df: kept.append(df.columns) or keep(df))
+    out = catalog.queries()["model_comparison"](spark, "/root/testdata/sf0.001")
+    assert kept.count(["model", "n_cells", "hits", "rmse"]) == 2
+    assert [r["model"] for r in out.collect()] == ["nbcf", "als"]
